@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import Column
@@ -27,3 +27,8 @@ def at_most(value: Column, rungs: Sequence[tuple[Any, Any]], otherwise: Any) ->
 
 def below(value: Column, rungs: Sequence[tuple[Any, Any]], otherwise: Any) -> Column:
     return ladder(lambda bound: value < bound, rungs, otherwise)
+
+
+def labelled(value: Column, labels: Mapping[Any, Any], otherwise: Any = None) -> Column:
+    """CASE over exact values."""
+    return ladder(lambda known: value == known, list(labels.items()), otherwise)

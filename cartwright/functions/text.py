@@ -12,6 +12,8 @@ METHOD_FRAGMENTS = (("card", "card"), ("transfer", "bank_transfer"), ("wallet",
 METHOD_NAMES = {"cod": "cod", "paylater": "bnpl"}
 OTHER_METHOD = "other"
 
+METHOD_GROUPS = sorted({*(label for _, label in METHOD_FRAGMENTS), *METHOD_NAMES.values(), OTHER_METHOD})
+
 # Selling price under which each tier applies.
 TIER_LIMITS = ((100_000, "budget"), (500_000, "mid_range"), (1_500_000, "premium"))
 TOP_TIER = "luxury"

@@ -19,10 +19,24 @@ from pyspark.sql import functions as F
 @dataclass(frozen=True)
 class HotKeys:
     """Hot are the keys with more than ``min_rows`` rows, the ``most`` largest
-    of them if there are more; those left out each hold less than 1 / most."""
+    of them if there are more; those left out each hold less than 1 / most.
+    ``skip_small`` spares inputs of one file split the search."""
 
     most: int = 500
     min_rows: int = 1_000_000
+    skip_small: bool = True
+
+
+def _fits_one_split(df: DataFrame) -> bool:
+    """True when all input files together are no larger than one file split.
+
+    A single task reads such an input, so no key can make a later task slower
+    than that.  Sizes come from the plan; no job is run.
+    """
+    split = df._jdf.sparkSession().sessionState().conf().filesMaxPartitionBytes()
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(n).stats().sizeInBytes())) for n in range(leaves.size()))
+    return sum(sizes) <= split
 
 
 def find_hot(df: DataFrame, key: str, limits: HotKeys = HotKeys()) -> DataFrame | None:
@@ -31,6 +45,8 @@ def find_hot(df: DataFrame, key: str, limits: HotKeys = HotKeys()) -> DataFrame
     None when there are none, which is the usual case and leaves the plan of
     the calling operator as it would be without this precaution.
     """
+    if limits.skip_small and _fits_one_split(df):
+        return None
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     found = counted.where(F.col("n") > limits.min_rows).orderBy(F.desc("n")).limit(limits.most).collect()
     if not found:

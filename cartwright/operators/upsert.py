@@ -74,6 +74,8 @@ def upsert(
     """
     finish_pending(spark, target)
     current = read_target(spark, target)
+    if current is None and not assert_unique_batch:
+        return replace_partitions(spark, batch, target, partition_col)
 
     # The batch is used several times; a written copy is computed once and
     # lets each use read only its columns.
@@ -83,17 +85,17 @@ def upsert(
     if assert_unique_batch and repeated_keys(batch, keys).take(1):
         raise ValueError(f"the batch repeats a key {tuple(keys)}")
 
-    touched = set(distinct_values(batch, partition_col))
+    touched: set = set()
     merged = batch
     if current is not None:
         old, new = align_schemas(current, batch)
+        touched = set(distinct_values(batch, partition_col))
         if not stable_partitions:
             slim = old.select(*dict.fromkeys([*keys, partition_col]))
             losing = _matching(slim, new, keys, null_safe, "left_semi")
             touched |= set(distinct_values(losing, partition_col))
         affected = old.where(in_partitions(partition_col, touched))
         merged = _matching(affected, new, keys, null_safe, "left_anti").unionByName(new)
-    if touched:
-        replace_partitions(spark, merged, target, partition_col, touched)
+    replaced = replace_partitions(spark, merged, target, partition_col, touched)
     storage.delete(spark, copy)
-    return sorted(touched, key=str)
+    return replaced

@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwright.functions import flag, minutes_between
+from cartwright.functions.bands import labelled
+from cartwright.functions.text import METHOD_GROUPS
 from cartwright.operators.hot import HotKeys, find_hot
 from cartwright.operators.lookup import lookup_join
 from cartwright.operators.pit import pit_join, supersede
 from cartwright.plans.staging import timestamp_of
 
 
+def _groups_used(group: Column) -> Column:
+    """The distinct payment groups as sorted text.
+
+    The groups are few and known, so a set of them is a bit mask: the
+    aggregate stays a generated hash aggregate with one integer per order.
+    """
+    mask = F.bit_or(labelled(group, {name: 1 << n for n, name in enumerate(METHOD_GROUPS)}))
+    names = (F.when(F.getbit(mask, F.lit(n)) == 1, name) for n, name in enumerate(METHOD_GROUPS))
+    return F.when(mask > 0, F.concat_ws(", ", *names))
+
+
 def payments_rollup(payments: DataFrame) -> DataFrame:
     """One row per order from typed payments, lateness aside."""
     first_paid = F.min("payment_ts")
@@ -21,9 +34,7 @@ def payments_rollup(payments: DataFrame) -> DataFrame:
         (F.count(F.lit(1)) > 1).alias("is_split_payment"),
         first_paid.alias("first_payment_ts"),
         first_paid.cast("date").alias("first_payment_date"),
-        F.array_join(F.array_sort(F.collect_set("payment_method_group")), ", ").alias(
-            "payment_methods_used"
-        ),
+        _groups_used(F.col("payment_method_group")).alias("payment_methods_used"),
     )
 
 

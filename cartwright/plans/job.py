@@ -157,9 +157,7 @@ def refresh_revenue(
     stored = read_target(spark, target)
     if affected_days is None or stored is None:
         revenue = _by_month(marts.revenue_daily(orders, returns, run_ts))
-        months = set(distinct_values(_by_month(orders.select(F.col(DAY).alias("date_day"))), MONTH))
-        if stored is not None:
-            months |= set(distinct_values(stored, MONTH))
+        months = set() if stored is None else set(distinct_values(stored, MONTH))
     else:
         days = set(affected_days)
         if not days:

@@ -18,6 +18,7 @@ from cartwright.functions import (
     surrogate_key,
     years_between,
 )
+from cartwright.functions.bands import labelled
 from cartwright.operators.contracts import enforce_contract
 from cartwright.plans.contracts import DIM_CUSTOMERS_SCD, FCT_EVENTS, FCT_ORDERS
 from cartwright.plans.staging import FUNNEL_STAGES, date_of
@@ -192,14 +193,12 @@ def funnel_conversion(events: DataFrame, run_ts: dt.datetime) -> DataFrame:
     """
     steps = list(FUNNEL_STAGES)
     group = ["event_date", "channel", "device"]
-    bit = F
-    for position, step in enumerate(steps):
-        bit = bit.when(F.col("event_type") == step, 1 << position)
+    bit = labelled(F.col("event_type"), {step: 1 << n for n, step in enumerate(steps)}, 0)
     listed = events.select(
         F.col("event_ts").cast("date").alias("event_date"),
         "channel",
         "device",
-        bit.otherwise(0).alias("step"),
+        bit.alias("step"),
         F.inline(
             F.array(
                 F.struct(F.lit(True).alias("is_session"), F.col("session_id").cast("string").alias("who")),

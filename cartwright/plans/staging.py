@@ -24,6 +24,7 @@ from cartwright.functions import (
     to_idr,
     years_between,
 )
+from cartwright.functions.bands import labelled
 from cartwright.operators.dedup import dedup_first
 from cartwright.operators.hot import HotKeys, find_hot
 from cartwright.operators.jsonflat import flatten_json
@@ -52,10 +53,7 @@ def date_of(column: str) -> Column:
 
 
 def funnel_stage(event_type: Column) -> Column:
-    stage = F
-    for name, position in FUNNEL_STAGES.items():
-        stage = stage.when(event_type == name, position)
-    return stage.otherwise(0)
+    return labelled(event_type, FUNNEL_STAGES, 0)
 
 
 def stg_orders(raw_orders: DataFrame) -> DataFrame:

@@ -40,7 +40,12 @@ def _folder_value(value: PartitionValue) -> str:
 def in_partitions(column: str, values: Iterable[PartitionValue]) -> Column:
     """Filter on literal partition values, so only their folders are read."""
     values = list(values)
-    condition = F.col(column).isin([v for v in values if v is not None])
+    named = [v for v in values if v is not None]
+    if named and all(isinstance(v, dt.date) for v in named):
+        listed = ", ".join(f"DATE '{day}'" for day in sorted(named))
+        condition = F.expr(f"{column} IN ({listed})")
+    else:
+        condition = F.col(column).isin(named)
     return condition | F.col(column).isNull() if None in values else condition
 
 
@@ -74,8 +79,7 @@ def finish_pending(spark: SparkSession, target: str) -> bool:
         .parquet(target)
     )
     storage.write_text(spark, f"{target.rstrip('/')}/{SCHEMA_FILE}", schema.json())
-    kept = {_folder_value(v) for v in distinct_values(staged, column)}
-    for folder in set(plan["touched"]) - kept:
+    for folder in plan["emptied"]:
         storage.delete(spark, f"{target.rstrip('/')}/{column}={folder}")
     storage.delete(spark, root)
     return True
@@ -86,24 +90,26 @@ def replace_partitions(
     df: DataFrame,
     target: str,
     partition_col: str,
-    touched: Iterable[PartitionValue],
-) -> None:
-    """Make ``df`` the whole content of the ``touched`` partitions of ``target``.
+    touched: Iterable[PartitionValue] = (),
+) -> list[PartitionValue]:
+    """Make ``df`` the whole content of its own and the ``touched`` partitions.
 
     ``df`` may read from ``target``.  A touched partition without rows in
-    ``df`` disappears; partitions not listed are left alone.
+    ``df`` disappears; all others are left alone.  Returns what was replaced.
     """
     root = _pending_root(spark, target)
     if storage.path_exists(spark, f"{root}/plan.json"):
         raise RuntimeError(f"an interrupted write of {target} is waiting: call finish_pending first")
     df.write.mode("overwrite").parquet(f"{root}/rows")
+    filled = set(distinct_values(spark.read.schema(df.schema).parquet(f"{root}/rows"), partition_col))
     plan = {
         "column": partition_col,
-        "touched": sorted({_folder_value(v) for v in touched}),
+        "emptied": sorted(_folder_value(v) for v in set(touched) - filled),
         "schema": df.schema.jsonValue(),
     }
     storage.write_text(spark, f"{root}/plan.json", json.dumps(plan))
     finish_pending(spark, target)
+    return sorted(filled | set(touched), key=str)
 
 
 def read_target(spark: SparkSession, target: str) -> DataFrame | None:
