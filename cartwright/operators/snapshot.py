@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.operators.upsert import align_schemas
+from cartwright.operators.upsert import align_schemas, repeated_keys
 from cartwright.sources.publish import finish_pending, read_target, replace_partitions
 
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = (
@@ -84,13 +84,17 @@ def scd2_snapshot(
     *,
     now: dt.datetime,
     invalidate_hard_deletes: bool = True,
+    assert_unique_source: bool = True,
 ) -> DataFrame:
     """Bring the history table at ``history`` up to date and return it.
 
+    A source that repeats a key is refused: each copy would open a version.
     Open versions live in one slice, the versions each run closes in a slice
     of their own: a run reads and rewrites the open slice only, and closed
     history is never touched again.
     """
+    if assert_unique_source and repeated_keys(source, [key]).take(1):
+        raise ValueError(f"the source repeats {key}")
     finish_pending(spark, history)
     stored = read_target(spark, history)
     current = None if stored is None else stored.where(F.col(SLICE) == OPEN_SLICE).drop(SLICE)

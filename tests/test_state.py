@@ -163,6 +163,12 @@ def test_deleted_keys_close_and_reopen(spark, folder):
     assert all(v[3] is not None for v in versions(read_history(spark, target)))
 
 
+def test_repeated_source_keys_are_refused(spark, folder):
+    twice = state(spark, (1, "J", "new", "2023-01-05"), (1, "M", "new", "2023-01-06"))
+    with pytest.raises(ValueError, match="repeats customer_id"):
+        scd2_snapshot(spark, folder("h"), twice, "customer_id", now=RUNS[0])
+
+
 def test_deletes_can_be_ignored_and_columns_added(spark):
     first = scd2_merge(None, state(spark, (1, "J", "new", "2023-01-05")), "customer_id", now=RUNS[0])
     wider = spark.createDataFrame([(2, "M", "new", "2023-02-01", True)], CURRENT + ", vip boolean")
@@ -269,6 +275,10 @@ def test_materialize(spark):
     assert load.materialize(df, "m", "inline") is df
     assert load.materialize(df, "m_view", "view").count() == 3
     assert spark.catalog.tableExists("m_view")
+    for _ in range(2):
+        assert load.materialize(df, "m_table", "table").count() == 3
+    assert storage.table_exists(spark, "m_table")
+    spark.sql("DROP TABLE m_table")
     with pytest.raises(ValueError):
         load.materialize(df, "m", "cube")
 
