@@ -22,10 +22,24 @@ def max_timestamp(target: DataFrame | None, column: str) -> dt.datetime:
     return EPOCH if newest is None else newest
 
 
-def lookback_filter(df: DataFrame, column: str, newest: dt.datetime, days: int) -> DataFrame:
-    """Rows at or after ``newest`` minus ``days``; text timestamps are parsed."""
-    start = newest if newest == EPOCH else newest - dt.timedelta(days=days)
-    return df.where(F.col(column).cast("timestamp_ntz") >= F.lit(start).cast("timestamp_ntz"))
+def lower_bound(newest: dt.datetime, days: int) -> dt.datetime:
+    return newest if newest == EPOCH else newest - dt.timedelta(days=days)
+
+
+def lookback_filter(
+    df: DataFrame, column: str, newest: dt.datetime, days: int, iso_text: bool = False
+) -> DataFrame:
+    """Rows at or after ``newest`` minus ``days``; text timestamps are parsed.
+
+    A parsed column hides its bound from the file scan.  Where the text is ISO
+    (``iso_text``), later means greater text as well, and the bound's date is
+    compared as text too: that the scan can use to skip row groups.
+    """
+    start = lower_bound(newest, days)
+    recent = F.col(column).cast("timestamp_ntz") >= F.lit(start).cast("timestamp_ntz")
+    if iso_text:
+        recent = (F.col(column) >= F.lit(start.date().isoformat())) & recent
+    return df.where(recent)
 
 
 def incremental_filter(
@@ -34,6 +48,7 @@ def incremental_filter(
     column: str,
     lookback_days: int = 3,
     full_refresh: bool = False,
+    iso_text: bool = False,
 ) -> DataFrame:
     """The part of ``df`` an incremental run has to process again.
 
@@ -44,4 +59,4 @@ def incremental_filter(
     newest = max_timestamp(target, column)
     if newest == EPOCH:
         return df
-    return lookback_filter(df, column, newest, lookback_days)
+    return lookback_filter(df, column, newest, lookback_days, iso_text)

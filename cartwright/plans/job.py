@@ -15,7 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.functions import RfmConfig
-from cartwright.operators.lookback import incremental_filter
+from cartwright.operators.lookback import (
+    EPOCH,
+    incremental_filter,
+    lookback_filter,
+    lower_bound,
+    max_timestamp,
+)
 from cartwright.operators.snapshot import read_history, scd2_snapshot
 from cartwright.operators.upsert import upsert
 from cartwright.plans import enrich, marts, reports, staging
@@ -89,6 +95,11 @@ def raw_table(spark: SparkSession, config: JobConfig, name: str) -> DataFrame:
     return spark.read.schema(SOURCES[name].schema).parquet(config.raw(name))
 
 
+def _of(facts: DataFrame, orders: DataFrame) -> DataFrame:
+    """The facts of some orders; few orders are sent to the facts, not the reverse."""
+    return facts.join(orders.select("order_id"), "order_id", "left_semi")
+
+
 def refresh_orders(
     spark: SparkSession,
     target: str,
@@ -103,11 +114,14 @@ def refresh_orders(
 ) -> list:
     """Upsert recently changed orders into the fact table; the touched partitions.
 
-    The lower bound is applied to the orders before anything is joined.
+    The lower bound is applied to the orders before anything is joined, and
+    only their payments are aggregated.
     """
     finish_pending(spark, target)
     stored = read_target(spark, target)
-    recent = incremental_filter(orders, stored, "updated_at", lookback_days, full)
+    recent = incremental_filter(orders, stored, "updated_at", lookback_days, full, iso_text=True)
+    if recent is not orders:
+        payments = _of(payments, recent)
     enriched = enrich.orders_enriched(recent, customers, payments, one_version=True)
     return upsert(spark, target, marts.fct_orders(enriched, run_ts), ["order_id"], partition_col)
 
@@ -115,20 +129,31 @@ def refresh_orders(
 def refresh_events(
     spark: SparkSession,
     target: str,
-    events: DataFrame,
+    raw_events: DataFrame,
     run_ts: dt.datetime,
     *,
     lookback_days: int = 3,
     full: bool = False,
 ) -> list:
-    """Upsert the events of the last days; the touched days."""
+    """Upsert the events of the last days; the touched days.
+
+    Raw events are cut before they are deduplicated, by their date folder
+    where they have one.  An event first seen before the cut is in the table
+    already and is not replaced by its later duplicate.
+    """
     finish_pending(spark, target)
     stored = read_target(spark, target)
-    dated = events.withColumn("_day", F.col("event_ts").cast("date"))
-    if stored is not None:
-        stored = stored.select(F.col("event_ts").cast("date").alias("_day"))
-    recent = incremental_filter(dated, stored, "_day", lookback_days, full).drop("_day")
-    return upsert(spark, target, marts.fct_events(recent, run_ts), ["event_id"], "event_date")
+    newest = EPOCH if full else max_timestamp(stored, "event_date")
+    if newest == EPOCH:
+        return upsert(spark, target, marts.fct_events(staging.stg_events(raw_events), run_ts), ["event_id"], "event_date")
+    recent = lookback_filter(raw_events, "event_ts", newest, lookback_days, iso_text=True)
+    since = lower_bound(newest, lookback_days).date()
+    folder = SOURCES["fact_events"].partition_col
+    if folder in raw_events.columns:
+        recent = recent.where(F.col(folder) >= F.lit(since))
+    seen = stored.where(F.col("event_date") < F.lit(since)).select("event_id")
+    events = staging.stg_events(recent).join(seen, "event_id", "left_anti")
+    return upsert(spark, target, marts.fct_events(events, run_ts), ["event_id"], "event_date")
 
 
 def days_of_returns(orders: DataFrame, new_returns: DataFrame) -> list:
@@ -163,7 +188,8 @@ def refresh_revenue(
         if not days:
             return
         months = {None if day is None else day.replace(day=1) for day in days}
-        fresh = marts.revenue_daily(orders.where(in_partitions(DAY, days)), returns, run_ts)
+        affected = orders.where(in_partitions(DAY, days))
+        fresh = marts.revenue_daily(affected, _of(returns, affected), run_ts)
         recomputed = F.coalesce(in_partitions("date_day", days), F.lit(False))
         copied = stored.where(in_partitions(MONTH, months)).where(~recomputed)
         revenue = copied.unionByName(_by_month(fresh))
@@ -187,7 +213,7 @@ def build(spark: SparkSession, config: JobConfig, new_returns: DataFrame | None
     orders = staging.stg_orders(raw_table(spark, config, "fact_orders"))
     customers = staging.stg_customers(raw_table(spark, config, "dim_customers"))
     payments = staging.typed_payments(raw_table(spark, config, "fact_payments"))
-    events = staging.stg_events(raw_table(spark, config, "fact_events"))
+    events = raw_table(spark, config, "fact_events")
     returns = staging.stg_returns(raw_table(spark, config, "raw_returns"))
 
     touched = refresh_orders(

@@ -33,14 +33,17 @@ def shaped(df, spec):
 
 
 def land(spark, base, until=None):
-    """Write the sources in landing layout, dated ones by month to keep files few."""
+    """Write the sources in landing layout, orders and payments by month to keep files few."""
     for name, (binding, at) in DATED.items():
         df = shaped(raw(spark, SMALL, binding), SOURCES[name])
         if until and name == "fact_orders":
             df = df.where(F.col("ingested_at") < until)
-        month = F.trunc(F.col(at).cast("timestamp_ntz"), "month").cast("string")
-        monthly = df.withColumn("_month", month)
-        parquet.write_partitioned(monthly, SOURCES[name].location(base), "_month", SOURCES[name].partition_col)
+        if until and name == "fact_events":
+            df = df.where(F.col("ingested_at") < "2024-01-20")
+        if name != "fact_events":
+            month = F.trunc(F.col(at).cast("timestamp_ntz"), "month").cast("string")
+            df, at = df.withColumn("_month", month), "_month"
+        parquet.write_partitioned(df, SOURCES[name].location(base), at, SOURCES[name].partition_col)
     for name, binding in FLAT.items():
         df = shaped(raw(spark, SMALL, binding), SOURCES[name])
         if until and name == "raw_returns":
@@ -134,3 +137,27 @@ def test_declared_checks_are_complete():
     assert {k: kinds.count(k) for k in set(kinds)} == {
         "not_null": 30, "unique": 16, "accepted_values": 11, "between": 10, "regex": 1,
     }
+
+
+EVENTS = (
+    "event_id string, session_id string, customer_id double, product_id double, event_type string,"
+    " event_ts string, channel string, device string, ingested_at string, batch_id string"
+)
+
+
+def event(event_id, day, session="s"):
+    return (event_id, session, 1.0, None, "page_view", f"2024-01-{day:02d} 10:00:00", "web", "mobile", "i", "b")
+
+
+def test_a_later_duplicate_does_not_replace_an_old_event(spark, folder):
+    first = [event("a", 1), event("b", 10)]
+    again = [*first, event("a", 11, "late copy"), event("c", 12), event("d", 2), event("b", 10)]
+    target = folder("fct_events")
+    for data in (first, again):
+        job.refresh_events(spark, target, spark.createDataFrame(data, EVENTS), ts("2024-02-01"))
+    stored = read_target(spark, target).select("event_id", "event_date", "session_id")
+    day = lambda d: dt.date(2024, 1, d)
+    # Event d came after the lookback of three days had passed it.
+    assert rows(stored) == [("a", day(1), "s"), ("b", day(10), "s"), ("c", day(12), "s")]
+    job.refresh_events(spark, target, spark.createDataFrame(again, EVENTS), ts("2024-02-01"), full=True)
+    assert rows(read_target(spark, target).select("event_id")) == [("a",), ("b",), ("c",), ("d",)]

@@ -217,10 +217,12 @@ def test_lookback_of_an_empty_target_loads_everything(spark):
 
 
 def test_lookback_includes_its_bound(spark):
-    source = spark.createDataFrame([("2024-01-06 23:59:59",), ("2024-01-07",), ("2024-01-10",)], "at string")
+    data = [("2024-01-06 23:59:59",), ("2024-01-07",), ("2024-01-07T00:00:00",), ("2024-01-10",), (None,)]
+    source = spark.createDataFrame(data, "at string")
     target = spark.createDataFrame([("2024-01-10",)], "at string")
-    assert rows(incremental_filter(source, target, "at", 3)) == [("2024-01-07",), ("2024-01-10",)]
-    assert incremental_filter(source, target, "at", 3, full_refresh=True).count() == 3
+    for iso_text in (False, True):
+        assert rows(incremental_filter(source, target, "at", 3, iso_text=iso_text)) == data[1:4]
+    assert incremental_filter(source, target, "at", 3, full_refresh=True).count() == len(data)
 
 
 RAW = "id long, ingested_at string"

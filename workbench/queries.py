@@ -552,8 +552,8 @@ register("fct_orders_incremental", round_sql("fct_orders", "total_paid"))(lambda
 
 @register("fct_events_upsert", "SELECT * FROM fct_events")
 def _events_upsert(i: Inputs) -> DataFrame:
-    target, events = i.scratch("fct_events"), i.events()
-    for seen in (events.where(F.col("event_ts") < "2024-01-20"), events):
+    target, events = i.scratch("fct_events"), i.raw("raw_events")
+    for seen in (_slice(events, "event_ts", before="2024-01-20"), events):
         job.refresh_events(i.spark, target, seen, RUN_AT)
     return read_target(i.spark, target)
 
