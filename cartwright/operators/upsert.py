@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.operators.hot import right_keys, same_keys
-from cartwright.session import shared_dir
-from cartwright.sources import storage
 from cartwright.sources.publish import (
     distinct_values,
     finish_pending,
     in_partitions,
     read_target,
     replace_partitions,
+    written_copy,
 )
 
 
@@ -77,17 +75,11 @@ def upsert(
     if current is None and not assert_unique_batch:
         return replace_partitions(spark, batch, target, partition_col)
 
-    # The batch is used several times; a written copy is computed once and
-    # lets each use read only its columns.
-    copy = f"{shared_dir(spark)}/cartwright-batches/{uuid.uuid4().hex}"
-    batch.write.parquet(copy)
-    batch = spark.read.schema(batch.schema).parquet(copy)
-    if assert_unique_batch and repeated_keys(batch, keys).take(1):
-        raise ValueError(f"the batch repeats a key {tuple(keys)}")
-
-    touched: set = set()
-    merged = batch
-    if current is not None:
+    with written_copy(spark, batch) as batch:
+        if assert_unique_batch and repeated_keys(batch, keys).take(1):
+            raise ValueError(f"the batch repeats a key {tuple(keys)}")
+        if current is None:
+            return replace_partitions(spark, batch, target, partition_col)
         old, new = align_schemas(current, batch)
         touched = set(distinct_values(batch, partition_col))
         if not stable_partitions:
@@ -96,6 +88,4 @@ def upsert(
             touched |= set(distinct_values(losing, partition_col))
         affected = old.where(in_partitions(partition_col, touched))
         merged = _matching(affected, new, keys, null_safe, "left_anti").unionByName(new)
-    replaced = replace_partitions(spark, merged, target, partition_col, touched)
-    storage.delete(spark, copy)
-    return replaced
+        return replace_partitions(spark, merged, target, partition_col, touched)

@@ -38,6 +38,7 @@ from cartwright.sources.publish import (
     in_partitions,
     read_target,
     replace_partitions,
+    written_copy,
 )
 from cartwright.sources.registry import SOURCES
 
@@ -95,16 +96,17 @@ def raw_table(spark: SparkSession, config: JobConfig, name: str) -> DataFrame:
     return spark.read.schema(SOURCES[name].schema).parquet(config.raw(name))
 
 
-def _of(facts: DataFrame, orders: DataFrame) -> DataFrame:
-    """The facts of some orders; few orders are sent to the facts, not the reverse."""
-    return facts.join(orders.select("order_id"), "order_id", "left_semi")
+def _of(facts: DataFrame, orders: DataFrame, key: str = "order_id") -> DataFrame:
+    """The rows that belong to some orders.  When those are few, Spark sends
+    their keys to the rows, before these are shuffled."""
+    return facts.join(orders.select(key), key, "left_semi")
 
 
 def refresh_orders(
     spark: SparkSession,
     target: str,
     orders: DataFrame,
-    customers: DataFrame,
+    raw_customers: DataFrame,
     payments: DataFrame,
     run_ts: dt.datetime,
     *,
@@ -115,15 +117,21 @@ def refresh_orders(
     """Upsert recently changed orders into the fact table; the touched partitions.
 
     The lower bound is applied to the orders before anything is joined, and
-    only their payments are aggregated.
+    only their customers' versions and their payments are looked at.
     """
     finish_pending(spark, target)
     stored = read_target(spark, target)
     recent = incremental_filter(orders, stored, "updated_at", lookback_days, full, iso_text=True)
-    if recent is not orders:
-        payments = _of(payments, recent)
-    enriched = enrich.orders_enriched(recent, customers, payments, one_version=True)
-    return upsert(spark, target, marts.fct_orders(enriched, run_ts), ["order_id"], partition_col)
+
+    def apply(some: DataFrame, their_customers: DataFrame, their_payments: DataFrame) -> list:
+        customers = staging.stg_customers(their_customers)
+        enriched = enrich.orders_enriched(some, customers, their_payments, one_version=True)
+        return upsert(spark, target, marts.fct_orders(enriched, run_ts), ["order_id"], partition_col)
+
+    if recent is orders:
+        return apply(orders, raw_customers, payments)
+    with written_copy(spark, recent) as some:
+        return apply(some, _of(raw_customers, some, "customer_id"), _of(payments, some))
 
 
 def refresh_events(
@@ -211,7 +219,7 @@ def build(spark: SparkSession, config: JobConfig, new_returns: DataFrame | None
     all of them are new.
     """
     orders = staging.stg_orders(raw_table(spark, config, "fact_orders"))
-    customers = staging.stg_customers(raw_table(spark, config, "dim_customers"))
+    raw_customers = raw_table(spark, config, "dim_customers")
     payments = staging.typed_payments(raw_table(spark, config, "fact_payments"))
     events = raw_table(spark, config, "fact_events")
     returns = staging.stg_returns(raw_table(spark, config, "raw_returns"))
@@ -220,7 +228,7 @@ def build(spark: SparkSession, config: JobConfig, new_returns: DataFrame | None
         spark,
         config.mart("fct_orders"),
         orders,
-        customers,
+        raw_customers,
         payments,
         config.run_ts,
         lookback_days=config.orders_lookback_days,
@@ -241,7 +249,9 @@ def build(spark: SparkSession, config: JobConfig, new_returns: DataFrame | None
         days = set(touched) | set(days_of_returns(facts, new_returns))
 
     tables = {
-        "dim_customers_scd": marts.dim_customers_scd(customers, config.as_of),
+        "dim_customers_scd": marts.dim_customers_scd(
+            staging.stg_customers(raw_customers), config.as_of
+        ),
         "fct_customer_rfm": marts.customer_rfm(facts, config.as_of, config.rfm),
         "fct_funnel_conversion": marts.funnel_conversion(stored_events, config.run_ts),
     }

@@ -11,7 +11,9 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import json
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +39,20 @@ def _folder_value(value: PartitionValue) -> str:
     return value.isoformat() if isinstance(value, dt.date) else value
 
 
+@contextmanager
+def written_copy(spark: SparkSession, df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` computed once and stored in the shared folder while in use.
+
+    For frames with several uses: each reads only its columns of the copy.
+    """
+    path = f"{shared_dir(spark)}/cartwright-copies/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        storage.delete(spark, path)
+
+
 def in_partitions(column: str, values: Iterable[PartitionValue]) -> Column:
     """Filter on literal partition values, so only their folders are read."""
     values = list(values)

@@ -21,10 +21,14 @@ CUSTOMERS = (
 )
 
 
-def customers(spark, *ranges):
+def raw_customers(spark, *ranges):
     """Customer 1 with one version per (from, to)."""
     data = [(k, 1, "n", "e", "F", f"city{k}", f"segment{k}", None, a, b) for k, (a, b) in enumerate(ranges)]
-    return staging.stg_customers(spark.createDataFrame(data, CUSTOMERS))
+    return spark.createDataFrame(data, CUSTOMERS)
+
+
+def customers(spark, *ranges):
+    return staging.stg_customers(raw_customers(spark, *ranges))
 
 
 def payments(spark, *data):
@@ -141,7 +145,7 @@ def test_incremental_orders_equal_a_full_run(spark, folder):
     target = folder("fct")
     for orders in (early, second):
         staged = staging.stg_orders(raw_orders(spark, *orders))
-        job.refresh_orders(spark, target, staged, customers(spark, *versions), payments(spark), RUN_AT)
+        job.refresh_orders(spark, target, staged, raw_customers(spark, *versions), payments(spark), RUN_AT)
     assert rows(read_target(spark, target).select(*FCT_ORDERS.names)) == rows(
         marts.fct_orders(enriched(spark, second, one_version=True), RUN_AT)
     )

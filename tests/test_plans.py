@@ -94,3 +94,4 @@ def test_revenue_joins_returns_once_and_not_on_four_keys(spark):
     returns = spark.createDataFrame([], "order_id long, refund_amount_idr double")
     text = marts.revenue_daily(facts, returns, dt.datetime(2024, 2, 1))._jdf.queryExecution().optimizedPlan().toString()
     assert text.count("Join LeftOuter") == 1
+

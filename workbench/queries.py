@@ -538,7 +538,7 @@ def _lookback(i: Inputs) -> DataFrame:
 def _two_order_runs(i: Inputs, lookback_days: int) -> DataFrame:
     """A first run on the orders up to 2000, a second on all of them."""
     target, orders = i.scratch("fct_orders"), i.orders()
-    rest = (i.customers(), i.payments(), RUN_AT)
+    rest = (i.raw("raw_dim_customers"), i.payments(), RUN_AT)
     for seen in (_slice(orders, "updated_at", before="2000-01-01"), orders):
         job.refresh_orders(
             i.spark, target, seen, *rest, lookback_days=lookback_days, partition_col="order_month"
