@@ -27,6 +27,11 @@ FLAT = {
 }
 
 
+def orders_of_2001(spark):
+    """Few enough order days for a quick run."""
+    return raw(spark, SMALL, "raw_orders").where(F.col("order_date") >= "2001-01-01")
+
+
 def shaped(df, spec):
     missing = {c: F.lit(None) for c in spec.schema.names if c not in df.columns}
     return df.withColumns(missing).select(*(F.col(f.name).cast(f.dataType) for f in spec.schema))
@@ -35,7 +40,8 @@ def shaped(df, spec):
 def land(spark, base, until=None):
     """Write the sources in landing layout, orders and payments by month to keep files few."""
     for name, (binding, at) in DATED.items():
-        df = shaped(raw(spark, SMALL, binding), SOURCES[name])
+        df = orders_of_2001(spark) if name == "fact_orders" else raw(spark, SMALL, binding)
+        df = shaped(df, SOURCES[name])
         if until and name == "fact_orders":
             df = df.where(F.col("ingested_at") < until)
         if until and name == "fact_events":
@@ -90,7 +96,7 @@ def test_loaded_rows_equal_landed_rows(spark, finished):
 
 def test_marts_equal_a_full_computation(spark, finished):
     config, _ = finished
-    orders = staging.stg_orders(raw(spark, SMALL, "raw_orders"))
+    orders = staging.stg_orders(orders_of_2001(spark))
     customers = staging.stg_customers(raw(spark, SMALL, "raw_dim_customers"))
     payments = staging.typed_payments(raw(spark, SMALL, "raw_payments"))
     enriched = enrich.orders_enriched(orders, customers, payments, one_version=True)
