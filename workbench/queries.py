@@ -430,6 +430,7 @@ register(
   CASE WHEN count(*) > 1 THEN 'Pernah berubah' ELSE 'Tidak berubah' END AS status
   FROM customer_history GROUP BY customer_id) GROUP BY status""",
 )(lambda i: reports.ever_changed_customers(i.history()))
+# The report shows one customer; which one is its parameter.
 register("customer_versions", "SELECT * FROM history_features WHERE customer_id = 1 ORDER BY valid_from")(
     lambda i: reports.customer_versions(i.history_features(), 1)
 )
