@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import langid, mixing, packing, urlrules, warc
+from cartwright.llm import fingerprint, htmltext, langid, mixing, packing, topk, urlrules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("id") % 20 == 0, k=20)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.new_folder(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
@@ -45,24 +50,46 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(table(spark, sf_dir, "pages"), rules)
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     return mixing.mix(docs)
 
 
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_top_k": op1_top_k,
     "op3_warc": op3_warc,
     "op5_language_id": op5_language_id,
     "op6_url_filters": op6_url_filters,
+    "op7_html_text": op7_html_text,
     "op8_mixing": op8_mixing,
+    "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {
+    "op1_top_k": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+            FROM whole q JOIN whole c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+        )
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+        FROM scored QUALIFY rank <= 20
+    """,
     "op3_warc": """
         WITH sized AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
