@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import fingerprint, htmltext, langid, mixing, packing, topk, urlrules, warc
+from cartwright.llm import fingerprint, htmltext, langid, mixing, packing, repeats, topk, urlrules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,17 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("id") % 20 == 0, k=20)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs).select(
+        "doc_id",
+        F.col("_n_bytes").alias("n_bytes"),
+        F.col("_n_removed").alias("n_removed"),
+        F.col("_n_spans").alias("n_spans"),
+        F.col("_kept_sha256").alias("kept_sha256"),
+    )
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.new_folder(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
@@ -69,6 +80,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_warc": op3_warc,
     "op5_language_id": op5_language_id,
     "op6_url_filters": op6_url_filters,
