@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import fingerprint, htmltext, langid, mixing, packing, repeats, topk, urlrules, warc
+from cartwright.llm import fingerprint, htmltext, jaccard, langid, mixing, packing, repeats, topk, urlrules, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve(records).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.joined(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = langid.identify(docs, langid.learned_from(docs))
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_warc": op3_warc,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_language_id": op5_language_id,
     "op6_url_filters": op6_url_filters,
     "op7_html_text": op7_html_text,
