@@ -1,13 +1,15 @@
 """Similarity join on word shingles with a token-group matrix.
 
-Documents with the same leading token form a group; a group's row of the matrix is the union of its
-members' tokens, of which only those that a link cannot avoid are spread over the cluster.
-Groups that share such a token are compared: the overlap of a document with the other group's whole
-union bounds its overlap with any member, and only groups that pass are opened.
+Documents with the same two smallest token hashes form a group, which similar documents mostly have in
+common; a group's row of the matrix is the union of its members' tokens, of which only those that
+a link cannot avoid are spread over the cluster. Groups that share enough of them are compared: the overlap
+of a document with the other group's whole union bounds its overlap with any member, and only groups
+that pass are opened.
 """
 
 from __future__ import annotations
 
+import math
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -35,9 +37,14 @@ class JaccardSettings:
     run: int = 24
     cells: int = 1 << 20
 
+    def least_common(self, n: int) -> int:
+        """So many leading tokens a set has in common with any linked set that is not smaller."""
+        return 1 + n // 16
+
     def prefix(self, n: int) -> int:
-        """So many leading tokens hold at least one that any linked set has among its own."""
-        return n - -(-self.percent * n // 100) + 1
+        """A linked set has at least percent * n tokens in common, so all but so many leading tokens
+        can hold at most all but least_common(n) of them."""
+        return n - -(-self.percent * n // 100) + self.least_common(n)
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -148,13 +155,12 @@ class Order:
         s = self.settings
         mean = self.counts.mean()
         seen = self.counts[(tokens >> np.uint64(65 - s.cells.bit_length())).astype(np.int64)]
-        frequent = seen > 4 * mean + s.members
-        lead = np.concatenate((tokens[~frequent], tokens[frequent]))[: s.prefix(len(tokens))]
-        first = lead[0]
-        about = seen[np.searchsorted(tokens, first)]
-        parts = max(1, -(-int(about - 2 * mean) // s.members))
-        own = int(node_of(tokens)) % parts
-        return lead, int(mixed(np.array([first ^ np.uint64(own * 0x9E3779B97F4A7C15 & (1 << 64) - 1)], np.uint64)).view(np.int64)[0])
+        # What is in the range of chance counts as rare; above that, powers of two.
+        level = np.log2(np.maximum((seen - mean) / (3 * np.sqrt(mean) + 3), 1)).astype(np.int8)
+        lead = tokens[np.argsort(level, kind="stable")][: s.prefix(len(tokens))]
+        parts = max(1, -(-int(seen[:2].min() - 2 * mean) // s.members))
+        own = [int(tokens[0]), int(tokens[min(1, len(tokens) - 1)]), int(node_of(tokens)) % parts]
+        return lead, int(mixed(mixed(np.array(own, np.uint64)) * np.array([1, 3, 5], np.uint64)).sum().view(np.int64))
 
 
 def node_of(tokens: np.ndarray) -> np.uint64:
@@ -181,11 +187,33 @@ def tagged(docs: DataFrame, shared, s: JaccardSettings) -> DataFrame:
     return docs.select("doc_id", "row", "text").mapInArrow(run, TAGS)
 
 
+#: The sizes of sets travel as eighths of powers of two, rounded down and up.
+def rounded(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    power = 8 * np.log2(n)
+    return np.floor(power).astype(np.uint8), np.ceil(power).astype(np.uint8)
+
+
+def merged(token: np.ndarray, gid: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each pair of token and group once, in order, with the smallest and the largest size."""
+    order = np.lexsort((gid, token))
+    token, gid, low, high = token[order], gid[order], low[order], high[order]
+    new = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (gid[1:] != gid[:-1]))))
+    return token[new], gid[new], np.minimum.reduceat(low, new), np.maximum.reduceat(high, new)
+
+
+BLOCK = "range int, tokens binary, groups binary, low binary, high binary"
+MET = "token long, a long, b long, k long, low int, high int"
+#: Stands for enough tokens in common.
+ENOUGH = 1 << 30
+
+
 def candidates(docs: DataFrame, shared, s: JaccardSettings) -> DataFrame:
-    """``token, a, b``: groups to compare (token null), and groups b of tokens in too many groups for that (a null).
+    """Rows of two kinds. ``a, b, k, low``: two groups, how many tokens of their matrix rows were seen together, and
+    the smaller lower bound of their sizes. ``token, b, low, high``: a group of a token in more than ``run`` groups.
 
     The matrix travels in blocks: a task packs the pairs of token and group it has seen, each once, by ranges of
-    tokens, and the task of a range sorts what it gets.
+    tokens, and the task of a range sorts what it gets. Of a token, 40 bits after those of its range are kept; a chance
+    match only costs a comparison. Groups whose sizes rule out a link are no pair.
     """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
     n = 1 << (n - 1).bit_length()
@@ -193,44 +221,43 @@ def candidates(docs: DataFrame, shared, s: JaccardSettings) -> DataFrame:
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            leads, groups = [], []
+            leads, groups, sizes = [], [], []
             for tokens in _sets(batch.column(0), s.words):
                 if len(tokens):
                     lead, gid = shared.value.leading(tokens)
                     leads.append(lead)
                     groups.append(np.full(len(lead), gid, np.int64))
+                    sizes.append(np.full(len(lead), len(tokens)))
             if not leads:
                 continue
-            token, gid = np.concatenate(leads), np.concatenate(groups)
-            order = np.lexsort((gid, token))
-            token, gid = token[order], gid[order]
-            new = np.concatenate(([True], (token[1:] != token[:-1]) | (gid[1:] != gid[:-1])))
-            token, gid = token[new], gid[new]
+            token, gid, low, high = merged(np.concatenate(leads), np.concatenate(groups), *rounded(np.concatenate(sizes)))
             at = np.searchsorted(token >> np.uint64(64 - bits), np.arange(n + 1).astype(np.uint64))
+            rest = (token >> np.uint64(24 - bits)) & np.uint64((1 << 40) - 1)
+            five = rest.view(np.uint8).reshape(-1, 8)[:, :5]
             full = np.flatnonzero(np.diff(at))
+            blobs = [[x[at[k] : at[k + 1]].tobytes() for k in full] for x in (five, gid, low, high)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(full.astype(np.int32)),
-                    pa.array([token[at[k] : at[k + 1]].tobytes() for k in full], pa.binary()),
-                    pa.array([gid[at[k] : at[k + 1]].tobytes() for k in full], pa.binary()),
-                ],
-                names=["range", "tokens", "groups"],
+                [pa.array(full.astype(np.int32)), *(pa.array(x, pa.binary()) for x in blobs)],
+                names=["range", "tokens", "groups", "low", "high"],
             )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, groups = [], []
+        blocks: list[list[bytes]] = [[], [], [], [], []]
         for batch in batches:
-            tokens += [np.frombuffer(b.as_py(), np.uint64) for b in batch.column("tokens")]
-            groups += [np.frombuffer(b.as_py(), np.int64) for b in batch.column("groups")]
-        if not tokens:
+            for k, name in enumerate(("tokens", "groups", "low", "high")):
+                blocks[k] += batch.column(name).to_pylist()
+            blocks[4] += batch.column("range").to_pylist()
+        if not blocks[0]:
             return
-        token, gid = np.concatenate(tokens), np.concatenate(groups)
-        tokens.clear()
-        groups.clear()
-        order = np.lexsort((gid, token))
-        token, gid = token[order], gid[order]
-        new = np.concatenate(([True], (token[1:] != token[:-1]) | (gid[1:] != gid[:-1])))
-        token, gid = token[new], gid[new]
+        five = np.frombuffer(b"".join(blocks[0]), np.uint8).reshape(-1, 5)
+        token = np.zeros((len(five), 8), np.uint8)
+        token[:, :5] = five
+        token = token.view(np.uint64).ravel()
+        token |= np.repeat(np.array(blocks[4], np.uint64), [len(x) // 5 for x in blocks[0]]) << np.uint64(40)
+        gid, low, high = (np.frombuffer(b"".join(blocks[k]), t) for k, t in ((1, np.int64), (2, np.uint8), (3, np.uint8)))
+        blocks.clear()
+        token, gid, low, high = merged(token, gid, low, high)
+        least, most = np.floor(2.0 ** (low / 8)), np.ceil(2.0 ** (high / 8))
         first = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
         size = np.diff(np.concatenate((first, [len(token)])))
         left, right = [], []
@@ -238,25 +265,41 @@ def candidates(docs: DataFrame, shared, s: JaccardSettings) -> DataFrame:
             here = first[size == m]
             for x in range(m):
                 for y in range(x + 1, m):
-                    left.append(gid[here + x])
-                    right.append(gid[here + y])
-        many = size > s.run
-        inside = np.repeat(many, size)
-        hub = np.repeat(gid[first], size)
-        star = inside & (hub != gid)
-        left.append(hub[star])
-        right.append(gid[star])
-        a, b = np.concatenate(left), np.concatenate(right)
-        pair = np.unique(np.stack((a, b), axis=1), axis=0) if len(a) else np.empty((0, 2), np.int64)
-        none = pa.nulls(len(pair), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, pa.array(pair[:, 0]), pa.array(pair[:, 1])], names=["token", "a", "b"])
-        rest = np.flatnonzero(inside)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(token[rest].view(np.int64)), pa.nulls(len(rest), pa.int64()), pa.array(gid[rest])], names=["token", "a", "b"]
-        )
-
-    packed = docs.select("text").mapInArrow(pack, "range int, tokens binary, groups binary")
-    return packed.repartition(n, "range").mapInArrow(meet, "token long, a long, b long")
+                    left.append(here + x)
+                    right.append(here + y)
+        inside = np.flatnonzero(np.repeat(size > s.run, size))
+        whose = np.repeat(np.arange(len(first)), size)[inside]
+        hubs = [first[whose], first[whose] + size[whose] // 2, first[whose] + size[whose] - 1]
+        left = [np.concatenate(left or [first[:0]]), *hubs]
+        right = [np.concatenate(right or [first[:0]]), inside, inside, inside]
+        seen = np.repeat([1, ENOUGH], [len(left[0]), 3 * len(inside)])
+        x, y = np.concatenate(left), np.concatenate(right)
+        fits = (x != y) & (100 * most[x] >= s.percent * least[y]) & (100 * most[y] >= s.percent * least[x])
+        x, y, seen = x[fits], y[fits], seen[fits]
+        a, b = np.minimum(gid[x], gid[y]), np.maximum(gid[x], gid[y])
+        order = np.lexsort((b, a))
+        a, b, seen, small = a[order], b[order], seen[order], np.minimum(low[x], low[y])[order]
+        if len(a):
+            new = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
+            yield _met(None, a[new], b[new], np.add.reduceat(seen, new), np.minimum.reduceat(small, new), None)
+        if len(inside):
+            yield _met(token[inside].view(np.int64), None, gid[inside], None, low[inside], high[inside])
+
+    packed = docs.select("text").mapInArrow(pack, BLOCK)
+    return packed.repartition(n, "range").mapInArrow(meet, MET)
+
+
+def _met(*columns: np.ndarray | None) -> pa.RecordBatch:
+    n = next(len(c) for c in columns if c is not None)
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    arrays = [pa.nulls(n, t) if c is None else pa.array(c.astype(t.to_pandas_dtype())) for c, t in zip(columns, types)]
+    return pa.RecordBatch.from_arrays(arrays, names=[part.split()[0] for part in MET.split(", ")])
+
+
+def enough(seen: DataFrame) -> DataFrame:
+    """``a, b`` of the pairs that share as many tokens as a link would need."""
+    size = F.floor(F.pow(F.lit(2.0), F.min("low") / 8))
+    return seen.groupBy("a", "b").agg(F.sum("k").alias("k"), (F.floor(size / 16) + 1).alias("need")).where("k >= need").select("a", "b")
 
 
 class Forest:
@@ -369,12 +412,13 @@ def joined(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) -> Da
     found = stored(candidates(rows, shared, s), "candidates")
     reps = tags.where("gid is not null").groupBy("node").agg(F.min(F.struct("doc_id", "row", "gid")).alias("r")).select("node", "r.doc_id", "r.row", "r.gid")
     within = reps.groupBy("gid").count().where("count > 1").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
-    pairs = stored(found.where("token is null").select("a", "b").distinct().unionByName(within), "pairs")
+    seen = found.where("token is null").select("a", "b", "k", "low")
+    pairs = stored(enough(seen).unionByName(within), "pairs")
     links = stored(compared(rows, pairs, reps, s), "links")
     labels = components(links)
 
     # Tokens in many groups: only what is still apart is left to compare.
-    crowded = found.where("token is not null").select("token", F.col("b").alias("gid"))
+    crowded = found.where("token is not null").select("token", F.col("b").alias("gid"), F.col("low").alias("small"), F.col("high").alias("large"))
     if not crowded.isEmpty():
         of_node = reps.join(labels.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
         of_group = of_node.groupBy(F.col("gid").alias("g")).agg(
@@ -383,13 +427,18 @@ def joined(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) -> Da
         known = crowded.join(of_group, F.col("gid") == F.col("g")).drop("g")
         apart = known.groupBy(F.col("token").alias("t")).agg(F.min("low").alias("x"), F.max("high").alias("y")).where("x <> y").select("t")
         left = known.join(apart, F.col("token") == F.col("t")).drop("t")
-        right = left.select(F.col("token").alias("t"), F.col("gid").alias("gid2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
-        rest = (
-            left.join(right, (F.col("token") == F.col("t")) & (F.col("gid") < F.col("gid2")))
+        right = left.select(*(F.col(c).alias(f"{c}2") for c in left.columns))
+        slack = 8 * math.log2(100 / s.percent) + 1e-9
+        together = (
+            left.join(right, (F.col("token") == F.col("token2")) & (F.col("gid") < F.col("gid2")))
             .where("not (low = high and low2 = high2 and low = low2)")
-            .select(F.col("gid").alias("a"), F.col("gid2").alias("b")).distinct()
-            .join(pairs, ["a", "b"], "left_anti")
-        )
+            .where((F.col("large") >= F.col("small2") - slack) & (F.col("large2") >= F.col("small") - slack))
+            .groupBy(F.col("gid").alias("a"), F.col("gid2").alias("b"))
+            .agg(F.count(F.lit(1)).alias("k"), F.min(F.least("small", "small2")).alias("low"))
+        )
+        # Tokens that were paired at once count as well, for pairs that also meet here.
+        before = seen.where(F.col("k") < ENOUGH).join(together.select("a", "b"), ["a", "b"], "left_semi")
+        rest = enough(together.select("a", "b", "k", "low").unionByName(before)).join(pairs, ["a", "b"], "left_anti")
         rest = stored(rest, "rest")
         if not rest.isEmpty():
             labels = components(links.unionByName(stored(compared(rows, rest, reps, s), "more")))
