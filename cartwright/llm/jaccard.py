@@ -148,12 +148,13 @@ class Order:
     """The order of tokens: rare before frequent ones, else by hash. The estimates decide on the work only, never on a result."""
 
     counts: np.ndarray
+    mean: float
     settings: JaccardSettings
 
     def leading(self, tokens: np.ndarray) -> tuple[np.ndarray, int]:
         """The tokens of the prefix, and the group of the set."""
         s = self.settings
-        mean = self.counts.mean()
+        mean = self.mean
         seen = self.counts[(tokens >> np.uint64(65 - s.cells.bit_length())).astype(np.int64)]
         # What is in the range of chance counts as rare; above that, powers of two.
         level = np.log2(np.maximum((seen - mean) / (3 * np.sqrt(mean) + 3), 1)).astype(np.int8)
@@ -163,6 +164,11 @@ class Order:
         return lead, int(mixed(mixed(np.array(own, np.uint64)) * np.array([1, 3, 5], np.uint64)).sum().view(np.int64))
 
 
+def order_of(docs: DataFrame, s: JaccardSettings) -> Order:
+    counts = frequencies(docs, s)
+    return Order(counts, float(counts.mean()), s)
+
+
 def node_of(tokens: np.ndarray) -> np.uint64:
     """A 64-bit name of a set; equal sets have equal names."""
     return mixed(np.array([mixed(tokens ^ np.uint64(0xA0761D6478BD642F)).sum() + np.uint64(len(tokens))], np.uint64))[0]
@@ -402,7 +408,7 @@ def joined(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) -> Da
     s, spark = settings, docs.sparkSession
     folder = f"{shared_dir(spark)}/jaccard-{uuid.uuid4().hex}"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"), "text")
-    shared = spark.sparkContext.broadcast(Order(frequencies(rows, s), s))
+    shared = spark.sparkContext.broadcast(order_of(rows, s))
 
     def stored(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{folder}/{name}")

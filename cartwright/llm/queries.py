@@ -23,7 +23,7 @@ def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return repeats.remove_repeats(docs).select(
+    return repeats.remove_repeats(docs, keep="none").select(
         "doc_id",
         F.col("_n_bytes").alias("n_bytes"),
         F.col("_n_removed").alias("n_removed"),

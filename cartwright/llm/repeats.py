@@ -313,8 +313,9 @@ def spans(docs: DataFrame, s: RepeatSettings) -> DataFrame:
     return alike.unionByName(shifted)
 
 
-def remove_repeats(docs: DataFrame, settings: RepeatSettings = RepeatSettings()) -> DataFrame:
-    """The rows with the columns ``_kept`` (remaining bytes), ``_n_bytes, _n_removed, _n_spans, _kept_sha256``.
+def remove_repeats(docs: DataFrame, settings: RepeatSettings = RepeatSettings(), keep: str = "binary") -> DataFrame:
+    """The rows with the columns ``_kept`` (what remains: bytes, or with ``keep="string"`` text without the rest of
+    characters that were cut, or with ``keep="none"`` null), ``_n_bytes, _n_removed, _n_spans, _kept_sha256``.
 
     Every byte goes that lies in a string of ``length`` bytes which starts anywhere
     else too, in the same text or another; strings are judged on the input. Null text counts as empty;
@@ -331,9 +332,9 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings = RepeatSettings())
     )
     joined = rows.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_of")), "left")
     joined = joined.drop("_id", "_of", "_row")
-    extra = "_kept binary, _n_bytes long, _n_removed long, _n_spans long, _kept_sha256 string"
+    extra = f"_kept {'binary' if keep == 'none' else keep}, _n_bytes long, _n_removed long, _n_spans long, _kept_sha256 string"
     names = [part.split()[0] for part in extra.split(", ")]
-    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    kinds = [pa.string() if keep == "string" else pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
 
     def cut(data: bytes, gone: list | None) -> tuple:
         kept, at, removed, count = [], 0, 0, 0
@@ -348,7 +349,8 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings = RepeatSettings())
                 open_end = max(open_end, end)
         kept.append(data[at:])
         rest = b"".join(kept)
-        return rest, len(data), removed, count, hashlib.sha256(rest).hexdigest()
+        shown = {"binary": rest, "none": None}.get(keep) if keep != "string" else rest.decode("utf-8", "ignore")
+        return shown, len(data), removed, count, hashlib.sha256(rest).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
