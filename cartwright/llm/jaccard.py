@@ -28,14 +28,14 @@ from cartwright.session import shared_dir
 @dataclass(frozen=True)
 class JaccardSettings:
     """Two sets link when 100 * intersection >= ``percent`` * union. ``members``: documents of a group, about.
-    ``run``: of a token in at most so many groups all pairs are compared at once; of others first each group with
-    one, then those that are still apart. ``cells``: of the frequency sketch, a power of two."""
+    ``run``: of a token in at most so many groups all pairs are counted at once; of others first each group with
+    two of them, then those that are still apart. ``cells``: of the frequency sketch, a power of two."""
 
     words: int = 5
     percent: int = 75
     members: int = 64
     run: int = 24
-    cells: int = 1 << 20
+    cells: int = 1 << 22
 
     def least_common(self, n: int) -> int:
         """So many leading tokens a set has in common with any linked set that is not smaller."""
@@ -98,7 +98,7 @@ def _sets(column: pa.Array, words: int) -> list[np.ndarray]:
     return out
 
 
-SLICES = 16
+SLICES = 64
 
 
 def frequencies(docs: DataFrame, s: JaccardSettings) -> np.ndarray:
@@ -110,13 +110,15 @@ def frequencies(docs: DataFrame, s: JaccardSettings) -> np.ndarray:
     bits, part = s.cells.bit_length() - 1, s.cells // SLICES
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(s.cells, np.int64), 0
+        total, n = np.zeros(s.cells, np.int32), 0
         for batch in batches:
             cells: list[np.ndarray] = []
             for tokens in _sets(batch.column(0), s.words):
                 cells.append((tokens >> np.uint64(64 - bits)).astype(np.int64))
                 n += 1
-            total += np.bincount(np.concatenate(cells), minlength=s.cells) if cells else 0
+            if cells:
+                cell, times = np.unique(np.concatenate(cells), return_counts=True)
+                total[cell] += times.astype(np.int32)
         if n:
             blobs = [zlib.compress(total[k * part : (k + 1) * part].astype("<i8").tobytes(), 1) for k in range(SLICES)]
             spread = [n % 64] * SLICES
@@ -137,8 +139,8 @@ def frequencies(docs: DataFrame, s: JaccardSettings) -> np.ndarray:
 
     schema = "slice int, lane int, blob binary"
     summed = docs.select("text").mapInArrow(count, schema).groupBy("slice", "lane").applyInArrow(add, schema).groupBy("slice").applyInArrow(add, schema)
-    out = np.zeros(s.cells, np.int64)
-    for row in summed.collect():
+    out = np.zeros(s.cells, np.float32)
+    for row in summed.toLocalIterator():
         out[row["slice"] * part : (row["slice"] + 1) * part] = np.frombuffer(zlib.decompress(row["blob"]), "<i8")
     return out
 
@@ -166,7 +168,7 @@ class Order:
 
 def order_of(docs: DataFrame, s: JaccardSettings) -> Order:
     counts = frequencies(docs, s)
-    return Order(counts, float(counts.mean()), s)
+    return Order(counts, float(counts.mean(dtype=np.float64)), s)
 
 
 def node_of(tokens: np.ndarray) -> np.uint64:
@@ -209,8 +211,6 @@ def merged(token: np.ndarray, gid: np.ndarray, low: np.ndarray, high: np.ndarray
 
 BLOCK = "range int, tokens binary, groups binary, low binary, high binary"
 MET = "token long, a long, b long, k long, low int, high int"
-#: Stands for enough tokens in common.
-ENOUGH = 1 << 30
 
 
 def candidates(docs: DataFrame, shared, s: JaccardSettings) -> DataFrame:
@@ -275,16 +275,13 @@ def candidates(docs: DataFrame, shared, s: JaccardSettings) -> DataFrame:
                     right.append(here + y)
         inside = np.flatnonzero(np.repeat(size > s.run, size))
         whose = np.repeat(np.arange(len(first)), size)[inside]
-        hubs = [first[whose], first[whose] + size[whose] // 2, first[whose] + size[whose] - 1]
-        left = [np.concatenate(left or [first[:0]]), *hubs]
-        right = [np.concatenate(right or [first[:0]]), inside, inside, inside]
-        seen = np.repeat([1, ENOUGH], [len(left[0]), 3 * len(inside)])
-        x, y = np.concatenate(left), np.concatenate(right)
+        hubs = [first[whose], first[whose] + size[whose] - 1]
+        x, y = np.concatenate([first[:0], *left, *hubs]), np.concatenate([first[:0], *right, inside, inside])
         fits = (x != y) & (100 * most[x] >= s.percent * least[y]) & (100 * most[y] >= s.percent * least[x])
-        x, y, seen = x[fits], y[fits], seen[fits]
+        x, y = x[fits], y[fits]
         a, b = np.minimum(gid[x], gid[y]), np.maximum(gid[x], gid[y])
         order = np.lexsort((b, a))
-        a, b, seen, small = a[order], b[order], seen[order], np.minimum(low[x], low[y])[order]
+        a, b, seen, small = a[order], b[order], np.ones(len(a), np.int64), np.minimum(low[x], low[y])[order]
         if len(a):
             new = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
             yield _met(None, a[new], b[new], np.add.reduceat(seen, new), np.minimum.reduceat(small, new), None)
@@ -337,20 +334,29 @@ def overlap(x: np.ndarray, y: np.ndarray) -> int:
 
 def opened(sides: tuple[list[int], list[int]], sets: list[np.ndarray], s: JaccardSettings) -> Iterator[tuple[int, int]]:
     """Links between two groups, or within one if both sides are the same; as many as connect what links connect."""
-    forest, inner = Forest(len(sets)), sides[0] is sides[1]
+    forest = Forest(len(sets))
+
+    def linked(q: int, x: int) -> bool:
+        few, more = sorted((len(sets[q]), len(sets[x])))
+        if 100 * few < s.percent * more or forest.root(q) == forest.root(x):
+            return False
+        common = overlap(sets[q], sets[x])
+        return 100 * common >= s.percent * (few + more - common) and forest.join(q, x)
+
+    def inside(side: list[int]) -> Iterator[tuple[int, int]]:
+        return ((q, x) for k, q in enumerate(side) for x in side[k + 1 :] if linked(q, x))
+
+    if sides[0] is sides[1]:
+        yield from inside(sides[0])
+        return
+    # What is linked inside a group is reported by its own comparison.
+    for side in sides:
+        for _ in inside(side):
+            pass
     union = np.unique(np.concatenate([sets[y] for y in sides[1]]))
     for q in sides[0]:
-        bound = overlap(sets[q], union) if not inner else len(sets[q])
-        if 100 * bound < s.percent * len(sets[q]):
-            continue
-        for x in sides[1]:
-            few, more = sorted((len(sets[q]), len(sets[x])))
-            if (inner and x <= q) or 100 * few < s.percent * more or forest.root(q) == forest.root(x):
-                continue
-            common = overlap(sets[q], sets[x])
-            if 100 * common >= s.percent * (few + more - common):
-                forest.join(q, x)
-                yield q, x
+        if 100 * overlap(sets[q], union) >= s.percent * len(sets[q]):
+            yield from ((q, x) for x in sides[1] if linked(q, x))
 
 
 def compared(docs: DataFrame, pairs: DataFrame, reps: DataFrame, s: JaccardSettings) -> DataFrame:
@@ -443,7 +449,7 @@ def joined(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) -> Da
             .agg(F.count(F.lit(1)).alias("k"), F.min(F.least("small", "small2")).alias("low"))
         )
         # Tokens that were paired at once count as well, for pairs that also meet here.
-        before = seen.where(F.col("k") < ENOUGH).join(together.select("a", "b"), ["a", "b"], "left_semi")
+        before = seen.join(together.select("a", "b"), ["a", "b"], "left_semi")
         rest = enough(together.select("a", "b", "k", "low").unionByName(before)).join(pairs, ["a", "b"], "left_anti")
         rest = stored(rest, "rest")
         if not rest.isEmpty():
