@@ -34,7 +34,7 @@ class RepeatSettings:
 
     length: int = 200
     gram: int = 32
-    shard_bytes: int = 1_000_000
+    shard_bytes: int = 2_000_000
 
 
 #: Bits of the position in the values whose minimum is sought; the rest are the hash.
@@ -200,11 +200,12 @@ def runs(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts[np.concatenate(([0], cut + 1))], starts[np.concatenate((cut, [len(starts) - 1]))]
 
 
-FOUND = "anchor long, content long, first int, last int, digest long"
+RANGES = "array<struct<first:int,last:int>>"
+FOUND = f"anchor long, content long, ranges {RANGES}, windows array<struct<first:int,digest:long>>"
 
 
 def searched(kinds: DataFrame, s: RepeatSettings) -> DataFrame:
-    """Ranges of window starts that repeat, for each different piece.
+    """Ranges of window starts that repeat, for each different piece that has any.
 
     ``kinds``: anchor, content, bytes, n. Anchors are dealt to shards; one with more than
     ``shard_bytes`` of pieces to several, by their content. For those, each shard also gives the
@@ -225,22 +226,29 @@ def searched(kinds: DataFrame, s: RepeatSettings) -> DataFrame:
         text, start, again, head = repeated_windows([r[3] for r in rows], weights, s.length)
         order = np.lexsort((start, text))
         text, start, again, head = text[order], start[order], again[order], head[order]
-        out: list[tuple] = []
+        ranges: dict[int, list] = {}
+        windows: dict[int, list] = {}
         where = np.flatnonzero(again)
         joined = text[where] * (1 << 32) + start[where]
         if len(joined):
             for x, y in zip(*runs(joined)):
-                r = rows[x >> 32]
-                out.append((r[0], r[2], int(x & 0xFFFFFFFF), int(y & 0xFFFFFFFF), None))
+                ranges.setdefault(int(x >> 32), []).append({"first": int(x & 0xFFFFFFFF), "last": int(y & 0xFFFFFFFF)})
         for k in np.flatnonzero(head):
             r = rows[text[k]]
             if r[1] >= 0:
                 at = int(start[k])
                 digest = hashlib.blake2b(r[3][at : at + s.length], digest_size=8).digest()
-                out.append((r[0], r[2], at, at, int.from_bytes(digest, "little", signed=True)))
-        types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64())
-        columns = list(zip(*out)) or [()] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["anchor", "content", "first", "last", "digest"])
+                windows.setdefault(int(text[k]), []).append({"first": at, "digest": int.from_bytes(digest, "little", signed=True)})
+        which = sorted({*ranges, *windows})
+        pair = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+        mark = pa.list_(pa.struct([("first", pa.int32()), ("digest", pa.int64())]))
+        columns = [
+            pa.array([rows[k][0] for k in which], pa.int64()),
+            pa.array([rows[k][2] for k in which], pa.int64()),
+            pa.array([ranges.get(k, []) for k in which], pair),
+            pa.array([windows.get(k, []) for k in which], mark),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["anchor", "content", "ranges", "windows"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, group = [], 0, None
@@ -258,7 +266,7 @@ def searched(kinds: DataFrame, s: RepeatSettings) -> DataFrame:
 
 
 def spans(docs: DataFrame, s: RepeatSettings) -> DataFrame:
-    """``doc_id, row, first, last``: ranges of window starts that are to go, of rows that have any.
+    """``doc_id, row, ranges``: window starts that are to go, from each piece of a row that has any.
 
     ``docs`` has doc_id, row (a hash of the text) and text.
     """
@@ -275,7 +283,8 @@ def spans(docs: DataFrame, s: RepeatSettings) -> DataFrame:
         .select("_anchor", (F.col("x") != F.col("y")).alias("differ"))
     )
     known = hits.join(different, F.col("anchor") == F.col("_anchor")).drop("_anchor")
-    alike = known.where("not differ").select("doc_id", "row", F.col("a").alias("first"), F.col("b").alias("last"))
+    whole = F.array(F.struct(F.col("a").alias("first"), F.col("b").alias("last")))
+    alike = known.where("not differ").select("doc_id", "row", whole.alias("ranges"))
     open_ = known.where("differ")
 
     # The bytes of one of each kind of piece; the text is fetched for those documents only.
@@ -300,17 +309,17 @@ def spans(docs: DataFrame, s: RepeatSettings) -> DataFrame:
     cut.write.parquet(f"{folder}/kinds")
     searched(spark.read.parquet(f"{folder}/kinds"), s).write.parquet(f"{folder}/found")
     ranges = spark.read.parquet(f"{folder}/found")
-    across = (
-        ranges.where("digest is not null").groupBy(F.col("anchor").alias("_a"), F.col("digest").alias("_d"))
-        .agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    )
-    met = ranges.where("digest is not null").join(across, (F.col("anchor") == F.col("_a")) & (F.col("digest") == F.col("_d")))
-    names = ["anchor", "content", "first", "last"]
-    bad = ranges.where("digest is null").select(*names).unionByName(met.select(*names))
+    marked = ranges.where(F.size("windows") > 0).select("anchor", "content", F.explode("windows").alias("w"))
+    marked = marked.select("anchor", "content", "w.first", "w.digest")
+    across = marked.groupBy(F.col("anchor").alias("_a"), F.col("digest").alias("_d")).agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    met = marked.join(across, (F.col("anchor") == F.col("_a")) & (F.col("digest") == F.col("_d"))).groupBy("anchor", "content").agg(
+        F.collect_list(F.struct("first", F.col("first").alias("last"))).cast(RANGES).alias("ranges")
+    )
+    bad = ranges.where(F.size("ranges") > 0).select("anchor", "content", F.col("ranges").cast(RANGES).alias("ranges")).unionByName(met)
     bad = bad.withColumnsRenamed({"anchor": "_anchor", "content": "_content"})
     within = open_.join(bad, (F.col("anchor") == F.col("_anchor")) & (F.col("content") == F.col("_content")))
-    shifted = within.select("doc_id", "row", (F.col("a") + F.col("first")).alias("first"), (F.col("a") + F.col("last")).alias("last"))
-    return alike.unionByName(shifted)
+    moved = F.transform("ranges", lambda r: F.struct((r["first"] + F.col("a")).alias("first"), (r["last"] + F.col("a")).alias("last")))
+    return alike.unionByName(within.select("doc_id", "row", moved.alias("ranges")))
 
 
 def remove_repeats(docs: DataFrame, settings: RepeatSettings = RepeatSettings(), keep: str = "binary") -> DataFrame:
@@ -328,7 +337,7 @@ def remove_repeats(docs: DataFrame, settings: RepeatSettings = RepeatSettings(),
     gone = (
         spans(keyed, s)
         .groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_of"))
-        .agg(F.collect_set(F.struct("first", "last")).alias("_gone"))
+        .agg(F.flatten(F.collect_set("ranges")).alias("_gone"))
     )
     joined = rows.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_of")), "left")
     joined = joined.drop("_id", "_of", "_row")
