@@ -1,13 +1,14 @@
 """Keys that hold so many rows that one task should not get them all.
 
-``find_hot`` runs one aggregate over the key column, with map-side combine, and
-brings back at most ``HotKeys.most`` keys.  What the operators then do with the
-list affects only how rows are spread, never the result: a list that is out of
-date or empty gives the same rows.
+``find_hot`` runs one aggregate over the key column, with map-side combine.  A
+key is hot by its share of the rows, so by arithmetic only a bounded number of
+keys can be.  What the operators then do with the list affects only how rows are
+spread, never the result: a list that is out of date or empty gives the same rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -18,25 +19,10 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Hot are the keys with more than ``min_rows`` rows, the ``most`` largest
-    of them if there are more; those left out each hold less than 1 / most.
-    ``skip_small`` spares inputs of one file split the search."""
+    """Hot are the keys with more than ``share`` times the rows of an average
+    task after a shuffle: no more than shuffle partitions / share keys."""
 
-    most: int = 500
-    min_rows: int = 1_000_000
-    skip_small: bool = True
-
-
-def _fits_one_split(df: DataFrame) -> bool:
-    """True when all input files together are no larger than one file split.
-
-    A single task reads such an input, so no key can make a later task slower
-    than that.  Sizes come from the plan; no job is run.
-    """
-    split = df._jdf.sparkSession().sessionState().conf().filesMaxPartitionBytes()
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    sizes = (int(str(leaves.apply(n).stats().sizeInBytes())) for n in range(leaves.size()))
-    return sum(sizes) <= split
+    share: float = 1.0
 
 
 def find_hot(df: DataFrame, key: str, limits: HotKeys = HotKeys()) -> DataFrame | None:
@@ -45,14 +31,13 @@ def find_hot(df: DataFrame, key: str, limits: HotKeys = HotKeys()) -> DataFrame
     None when there are none, which is the usual case and leaves the plan of
     the calling operator as it would be without this precaution.
     """
-    if limits.skip_small and _fits_one_split(df):
-        return None
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    limit = limits.share * df.count() / tasks
     counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    found = counted.where(F.col("n") > limits.min_rows).orderBy(F.desc("n")).limit(limits.most).collect()
+    found = counted.where(F.col("n") > F.lit(limit)).collect()
     if not found:
         return None
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = [(row[0], max(2, min(tasks, -(-row["n"] // limits.min_rows)))) for row in found]
+    rows = [(row[0], max(2, min(tasks, math.ceil(row["n"] / limit)))) for row in found]
     schema = df.select(key).withColumn("pieces", F.lit(1)).schema
     schema[key].nullable = True
     return df.sparkSession.createDataFrame(rows, schema)
@@ -71,7 +56,7 @@ def same_keys(keys: Sequence[str]) -> Column:
 def with_pieces(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Add ``_pieces``: NULL, or the number of pieces of the row's hot key.
 
-    ``hot`` has at most ``HotKeys.most`` rows, so it is broadcast.
+    ``hot`` has no more rows than ``HotKeys`` allows, so it is broadcast.
     """
     listed = right_keys(hot.withColumnRenamed("pieces", "_pieces"), [key])
     return df.join(F.broadcast(listed), same_keys([key]), "left").drop(f"_right_{key}")

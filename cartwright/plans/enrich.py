@@ -92,7 +92,7 @@ def orders_enriched(
         F.col("gender").alias("customer_gender"),
         "referral_code",
     )
-    paid = lookup_join(orders, payments_rollup(payments), "order_id", find_hot(orders, "order_id", limits))
+    paid = lookup_join(orders, payments_rollup(payments), "order_id")
     many_versions = find_hot(customers, "customer_id", limits)
     joined = pit_join(
         paid, versions, "customer_id", "order_ts", "_from", "_until", closed, hot=many_versions

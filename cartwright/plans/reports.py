@@ -221,8 +221,7 @@ def price_at_order(
 ) -> DataFrame:
     """The price version valid when each item was ordered (half-open ranges)."""
     ordered = orders.groupBy("order_id").agg(F.min("order_ts").alias("order_ts"))
-    hot_orders = find_hot(items, "order_id", limits)
-    sold = lookup_join(items.select("item_id", "order_id", "product_id"), ordered, "order_id", hot_orders)
+    sold = lookup_join(items.select("item_id", "order_id", "product_id"), ordered, "order_id")
     versions = products.select(
         F.col("product_id").cast("long").alias("product_id"),
         F.col("valid_from").alias("_from"),

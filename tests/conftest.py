@@ -37,9 +37,10 @@ def folder(tmp_path):
     return lambda name: str(tmp_path / name)
 
 
-# Every key with more than five rows counts as hot, so small data takes the
+# Nearly every key with several rows counts as hot, so small data takes the
 # paths meant for skewed tables.
-EAGER = HotKeys(min_rows=5, skip_small=False)
+EAGER = HotKeys(share=0.05)
+NEVER = HotKeys(share=100)
 
 
 def ts(text: str) -> dt.datetime:

@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import EAGER, rows, ts
+from conftest import EAGER, NEVER, rows, ts
 from pyspark.sql import functions as F
 from test_staging import PAYMENTS, order, raw_orders
 
@@ -281,6 +281,6 @@ def test_price_at_order_is_half_open(spark):
         [(5, ts("2023-01-01"), ts("2024-01-02 10:00:00"), 1.0), (5, ts("2024-01-02 10:00:00"), None, 2.0)],
         "product_id int, valid_from timestamp_ntz, valid_to timestamp_ntz, selling_price double",
     )
-    for limits in (staging.HotKeys(), staging.HotKeys(min_rows=1, skip_small=False)):
+    for limits in (EAGER, NEVER):
         got = reports.price_at_order(items, orders, products, limits).collect()
         assert [r.price_at_time_of_order for r in got] == [2.0]

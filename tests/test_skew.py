@@ -20,17 +20,20 @@ def skewed_key(rng, spread=20):
 
 def test_find_hot(spark):
     df = spark.createDataFrame([(1,)] * 9 + [(2,)] * 3 + [(None,)] * 7, "k long")
-    found = {r.k: r.pieces for r in find_hot(df, "k", EAGER).collect()}
+    found = {r.k: r.pieces for r in find_hot(df, "k").collect()}
     assert found == {1: 2, None: 2}
-    assert find_hot(df, "k", HotKeys(min_rows=100, skip_small=False)) is None
-    assert [r.k for r in find_hot(df, "k", HotKeys(most=1, min_rows=5, skip_small=False)).collect()] == [1]
+    assert find_hot(df, "k", HotKeys(share=3)) is None
+    assert find_hot(df.where("false"), "k") is None
 
 
-def test_small_inputs_are_not_searched(spark, folder):
+def test_all_equally_hot_keys_are_found(spark):
+    df = spark.range(1200).select((F.col("id") % 600).alias("k"))
+    assert find_hot(df, "k", HotKeys(share=0.005)).count() == 600
+
+
+def test_small_inputs_are_searched(spark, folder):
     spark.createDataFrame([(1,)] * 50, "k long").write.parquet(folder("t"))
-    stored = spark.read.parquet(folder("t"))
-    assert find_hot(stored, "k", HotKeys(min_rows=5)) is None
-    assert find_hot(stored, "k", EAGER) is not None
+    assert find_hot(spark.read.parquet(folder("t")), "k").count() == 1
 
 
 def test_lookup_join(spark):

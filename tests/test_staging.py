@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import EAGER, plan, rows, ts
+from conftest import EAGER, NEVER, plan, rows, ts
 from pyspark.sql import functions as F
 
 from cartwright.operators.checks import check_parsable
@@ -90,7 +90,7 @@ def test_payments_flags(spark):
         (6, None, 5.0, None, "2020-01-01 00:00:00"),
     ]
     raw = spark.createDataFrame(payments, PAYMENTS)
-    for limits in (EAGER, staging.HotKeys(min_rows=1, skip_small=False)):
+    for limits in (EAGER, NEVER):
         got = {r.payment_id: r for r in staging.stg_payments(raw, orders, limits=limits).collect()}
         assert [got[i].is_late_arriving for i in range(1, 7)] == [True, False, False, False, False, False]
         assert [got[i].is_split_payment for i in range(1, 7)] == [True, True, False, False, True, True]
@@ -200,7 +200,7 @@ def test_history_features(spark):
         " date_of_birth string, city string, segment string, referral_code string, is_active boolean,"
         " dbt_valid_from timestamp_ntz, dbt_valid_to timestamp_ntz, dbt_updated_at timestamp_ntz",
     )
-    for limits in (staging.HotKeys(), staging.HotKeys(min_rows=2, skip_small=False)):
+    for limits in (EAGER, staging.HotKeys(), NEVER):
         got = {
             r.customer_version_key: r
             for r in staging.customer_history_features(history, dt.date(2024, 2, 1), limits).collect()
@@ -223,7 +223,7 @@ def test_flagging_keeps_every_row(spark):
         F.lit(1.0).alias("unit_price"),
         F.lit(0.0).alias("discount"),
     )
-    for limits in (EAGER, staging.HotKeys()):
+    for limits in (EAGER, NEVER):
         counts = dict(rows(staging.stg_order_items(items, orders, limits).groupBy("is_orphan_record").count()))
         expected = sum(1 for i in range(500) if i % 3 and i % 40 >= 20)
         assert counts == {True: expected, False: 500 - expected}
