@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPOCH = dt.datetime(1970, 1, 1)
@@ -18,7 +18,7 @@ def max_timestamp(target: DataFrame | None, column: str) -> dt.datetime:
     """
     if target is None:
         return EPOCH
-    newest = target.agg(F.max(F.col(column).cast("timestamp_ntz"))).first()[0]
+    newest = target.agg(F.max(F.col(column).try_cast("timestamp_ntz"))).first()[0]
     return EPOCH if newest is None else newest
 
 
@@ -26,20 +26,19 @@ def lower_bound(newest: dt.datetime, days: int) -> dt.datetime:
     return newest if newest == EPOCH else newest - dt.timedelta(days=days)
 
 
-def lookback_filter(
-    df: DataFrame, column: str, newest: dt.datetime, days: int, iso_text: bool = False
-) -> DataFrame:
-    """Rows at or after ``newest`` minus ``days``; text timestamps are parsed.
+def is_recent(column: str, newest: dt.datetime, days: int) -> Column:
+    """At or after ``newest`` minus ``days``; NULL where text is no timestamp.
 
-    A parsed column hides its bound from the file scan.  Where the text is ISO
-    (``iso_text``), later means greater text as well, and the bound's date is
-    compared as text too: that the scan can use to skip row groups.
+    Text is compared as what it parses to, so every spelling that staging
+    accepts is found.
     """
-    start = lower_bound(newest, days)
-    recent = F.col(column).cast("timestamp_ntz") >= F.lit(start).cast("timestamp_ntz")
-    if iso_text:
-        recent = (F.col(column) >= F.lit(start.date().isoformat())) & recent
-    return df.where(recent)
+    start = F.lit(lower_bound(newest, days)).cast("timestamp_ntz")
+    return F.col(column).try_cast("timestamp_ntz") >= start
+
+
+def lookback_filter(df: DataFrame, column: str, newest: dt.datetime, days: int) -> DataFrame:
+    """Rows at or after ``newest`` minus ``days``; text timestamps are parsed."""
+    return df.where(is_recent(column, newest, days))
 
 
 def incremental_filter(
@@ -48,7 +47,6 @@ def incremental_filter(
     column: str,
     lookback_days: int = 3,
     full_refresh: bool = False,
-    iso_text: bool = False,
 ) -> DataFrame:
     """The part of ``df`` an incremental run has to process again.
 
@@ -59,4 +57,4 @@ def incremental_filter(
     newest = max_timestamp(target, column)
     if newest == EPOCH:
         return df
-    return lookback_filter(df, column, newest, lookback_days, iso_text)
+    return lookback_filter(df, column, newest, lookback_days)

@@ -7,6 +7,7 @@ here and the writers are what starts Spark jobs.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from cartwright.functions import RfmConfig
 from cartwright.operators.lookback import (
     EPOCH,
-    incremental_filter,
+    is_recent,
     lookback_filter,
     lower_bound,
     max_timestamp,
@@ -25,6 +26,7 @@ from cartwright.operators.lookback import (
 from cartwright.operators.snapshot import read_history, scd2_snapshot
 from cartwright.operators.upsert import upsert
 from cartwright.plans import enrich, marts, reports, staging
+from cartwright.sources import storage
 from cartwright.sources.load import (
     full_refresh,
     incremental_load,
@@ -55,6 +57,7 @@ class JobConfig:
     full_refresh: bool = False
     orders_lookback_days: int = 2
     events_lookback_days: int = 3
+    load_lookback_days: int = 3
     rfm: RfmConfig = field(default_factory=RfmConfig)
 
     def raw(self, name: str) -> str:
@@ -77,7 +80,8 @@ def load_main_tables(spark: SparkSession, config: JobConfig) -> dict[str, str]:
         if config.full_refresh:
             done[name] = full_refresh(spark, src, dst, spec.partition_col)
         else:
-            done[name] = incremental_load(spark, src, dst, partition_col=spec.partition_col)
+            lookback = f"{config.load_lookback_days} days"
+            done[name] = incremental_load(spark, src, dst, lookback=lookback, partition_col=spec.partition_col)
     return done
 
 
@@ -113,23 +117,33 @@ def refresh_orders(
     lookback_days: int = 2,
     full: bool = False,
     partition_col: str = DAY,
+    new_payments: DataFrame | None = None,
+    since: dt.datetime | None = None,
 ) -> list:
     """Upsert recently changed orders into the fact table; the touched partitions.
 
     The lower bound is applied to the orders before anything is joined, and
     only their customers' versions and their payments are looked at.
+
+    ``new_payments`` are those loaded since the last build: their orders are
+    computed again, however old.  ``since`` is the newest change the last
+    finished build knew; without it the table's newest one counts.
     """
     finish_pending(spark, target)
-    stored = read_target(spark, target)
-    recent = incremental_filter(orders, stored, "updated_at", lookback_days, full, iso_text=True)
+    newest = EPOCH if full else since or max_timestamp(read_target(spark, target), "updated_at")
 
     def apply(some: DataFrame, their_customers: DataFrame, their_payments: DataFrame) -> list:
         customers = staging.stg_customers(their_customers)
         enriched = enrich.orders_enriched(some, customers, their_payments, one_version=True)
         return upsert(spark, target, marts.fct_orders(enriched, run_ts), ["order_id"], partition_col)
 
-    if recent is orders:
+    if newest == EPOCH:
         return apply(orders, raw_customers, payments)
+    changed = is_recent("updated_at", newest, lookback_days)
+    recent = orders.where(changed)
+    if new_payments is not None:
+        unchanged = orders.where(~F.coalesce(changed, F.lit(False)))
+        recent = recent.unionByName(_of(unchanged, new_payments))
     with written_copy(spark, recent) as some:
         return apply(some, _of(raw_customers, some, "customer_id"), _of(payments, some))
 
@@ -154,7 +168,7 @@ def refresh_events(
     newest = EPOCH if full else max_timestamp(stored, "event_date")
     if newest == EPOCH:
         return upsert(spark, target, marts.fct_events(staging.stg_events(raw_events), run_ts), ["event_id"], "event_date")
-    recent = lookback_filter(raw_events, "event_ts", newest, lookback_days, iso_text=True)
+    recent = lookback_filter(raw_events, "event_ts", newest, lookback_days)
     since = lower_bound(newest, lookback_days).date()
     folder = SOURCES["fact_events"].partition_col
     if folder in raw_events.columns:
@@ -212,11 +226,24 @@ def read_revenue(spark: SparkSession, target: str) -> DataFrame:
     return read_target(spark, target).drop(MONTH)
 
 
-def build(spark: SparkSession, config: JobConfig, new_returns: DataFrame | None = None) -> None:
+def _build_mark(config: JobConfig) -> str:
+    return config.mart("_built.json")
+
+
+def _loaded_since(df: DataFrame, mark: str | None, days: int) -> DataFrame:
+    """Rows that may have been loaded after ``mark``; late loads reach back ``days``."""
+    if mark is None:
+        return df
+    start = F.lit(mark).try_cast("timestamp_ntz") - F.expr(f"INTERVAL {days} DAYS")
+    return df.where(F.coalesce(F.col("ingested_at").try_cast("timestamp_ntz") >= start, F.lit(True)))
+
+
+def build(spark: SparkSession, config: JobConfig) -> None:
     """Facts, dimension, revenue, RFM and funnel from the loaded raw tables.
 
-    ``new_returns`` are the returns loaded since the last build; None means
-    all of them are new.
+    What a finished build has seen is noted beside the marts at its end.  The
+    next one starts from that note, not from the tables, so a run that dies
+    anywhere in between is made up for by the next.  Without a note all is new.
     """
     orders = staging.stg_orders(raw_table(spark, config, "fact_orders"))
     raw_customers = raw_table(spark, config, "dim_customers")
@@ -224,6 +251,19 @@ def build(spark: SparkSession, config: JobConfig, new_returns: DataFrame | None
     events = raw_table(spark, config, "fact_events")
     returns = staging.stg_returns(raw_table(spark, config, "raw_returns"))
 
+    note = None if config.full_refresh else storage.read_text(spark, _build_mark(config))
+    seen = {
+        "orders": max_timestamp(orders, "updated_at").isoformat(),
+        "payments": watermark(spark, config.raw("fact_payments")),
+        "returns": watermark(spark, config.raw("raw_returns")),
+    }
+    new_payments = new_returns = since = None
+    if note is not None:
+        before, days = json.loads(note), config.load_lookback_days
+        since = dt.datetime.fromisoformat(before["orders"])
+        new_payments = _loaded_since(payments, before["payments"], days)
+        new_returns = _loaded_since(returns, before["returns"], days)
+
     touched = refresh_orders(
         spark,
         config.mart("fct_orders"),
@@ -232,7 +272,9 @@ def build(spark: SparkSession, config: JobConfig, new_returns: DataFrame | None
         payments,
         config.run_ts,
         lookback_days=config.orders_lookback_days,
-        full=config.full_refresh,
+        full=note is None,
+        new_payments=new_payments,
+        since=since,
     )
     refresh_events(
         spark,
@@ -245,7 +287,7 @@ def build(spark: SparkSession, config: JobConfig, new_returns: DataFrame | None
     facts = read_target(spark, config.mart("fct_orders"))
     stored_events = read_target(spark, config.mart("fct_events"))
     days = None
-    if new_returns is not None and not config.full_refresh:
+    if new_returns is not None:
         days = set(touched) | set(days_of_returns(facts, new_returns))
 
     tables = {
@@ -270,6 +312,7 @@ def build(spark: SparkSession, config: JobConfig, new_returns: DataFrame | None
         )
         for one in running:
             one.result()
+    storage.write_text(spark, _build_mark(config), json.dumps(seen))
 
 
 def audit(spark: SparkSession, config: JobConfig) -> DataFrame:
@@ -290,15 +333,10 @@ def audit(spark: SparkSession, config: JobConfig) -> DataFrame:
 
 def run(spark: SparkSession, config: JobConfig, batch: int | None = None) -> DataFrame:
     """Load, snapshot (when a batch is named), build; returns the audit."""
-    newest_return = watermark(spark, config.raw("raw_returns"))
     load_main_tables(spark, config)
     if batch is not None:
         take_snapshots(spark, config, batch)
-    new_returns = None
-    if newest_return is not None:
-        loaded = raw_table(spark, config, "raw_returns")
-        new_returns = loaded.where(F.col("ingested_at") > F.lit(newest_return))
-    build(spark, config, new_returns)
+    build(spark, config)
     return audit(spark, config)
 
 

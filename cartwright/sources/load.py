@@ -85,7 +85,7 @@ def _missing_rows(
 ) -> DataFrame:
     """Rows of the lookback period that occur more often in source than target."""
     start = F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {lookback}")
-    recent = F.col(watermark_col).cast("timestamp_ntz") >= start
+    recent = F.col(watermark_col).try_cast("timestamp_ntz") >= start
     columns = target.columns
     aligned = source.where(recent).select(*columns)
     return aligned.exceptAll(target.where(recent))

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from cartwright.operators.hot import right_keys, same_keys
 from cartwright.operators.upsert import upsert
 from cartwright.plans.staging import funnel_stage, timestamp_of
+from cartwright.sources.publish import finish_pending, read_target
 
 
 def read_stream(spark: SparkSession, src: str, schema: StructType) -> DataFrame:
@@ -69,15 +71,24 @@ def stream_upsert(
     partition_col: str,
     checkpoint: str,
     prepare: Callable[[DataFrame], DataFrame] | None = None,
+    first_wins: bool = True,
 ) -> StreamingQuery:
     """Upsert each micro-batch; a batch replayed after a failure changes nothing.
 
-    ``prepare`` turns the micro-batch into fact rows, one per key.
+    ``prepare`` turns the micro-batch into fact rows, one per key.  A key that
+    the table holds already keeps its row, as in the batch path, where the first
+    occurrence stays; without ``first_wins`` the newer row replaces it.
     """
 
     def apply(batch: DataFrame, _epoch: int) -> None:
+        session = batch.sparkSession
         rows = batch if prepare is None else prepare(batch)
-        upsert(batch.sparkSession, target, rows, keys, partition_col)
+        finish_pending(session, target)
+        stored = read_target(session, target) if first_wins else None
+        if stored is not None:
+            known = right_keys(stored.select(*keys), keys)
+            rows = rows.join(known, same_keys(keys), "left_anti")
+        upsert(session, target, rows, keys, partition_col, stable_partitions=stored is not None)
 
     return (
         stream.writeStream.foreachBatch(apply)

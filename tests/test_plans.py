@@ -52,12 +52,6 @@ def test_lookback_bound_is_pushed_into_the_scan(spark):
     assert "GreaterThanOrEqual(ts,2024-01-17" in plan(recent)
 
 
-def test_iso_text_bound_is_pushed_into_the_scan(spark, folder):
-    spark.createDataFrame([("2024-01-20 00:00:00",)], "updated_at string").write.parquet(folder("t"))
-    recent = lookback_filter(spark.read.parquet(folder("t")), "updated_at", dt.datetime(2024, 1, 20), 3, iso_text=True)
-    assert "GreaterThanOrEqual(updated_at,2024-01-17)" in plan(recent) and recent.count() == 1
-
-
 def test_scans_read_only_what_is_used(spark):
     channel = Inputs(spark, SMALL).orders().groupBy("channel").agg(F.sum("net_amount"))
     scan = next(line for line in plan(channel).splitlines() if "orders.parquet" in line)

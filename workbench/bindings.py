@@ -22,6 +22,7 @@ TABLES = {
     "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
     " o_orderdate timestamp_ntz, o_orderpriority string",
     "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
 }
 
 _PERSON = """'c' || CAST(c_custkey AS STRING) || '@mail.test' AS email,
@@ -136,6 +137,12 @@ SELECT p_partkey * 2 + 2, p_partkey, ' SKU-' || CAST(p_partkey AS STRING) || ' '
   p_retailprice * (p_partkey % 20 + 1) * CASE WHEN p_partkey % 2 = 0 THEN 110 ELSE 85 END,
   p_size * 100, TRUE, '1998-06-01 00:00:01', NULL, TRUE, '1998-06-01 00:00:01'
 FROM @part WHERE p_partkey % 3 = 0""",
+    "raw_dim_stores": """SELECT s_suppkey AS store_id, s_name AS store_name,
+  CASE WHEN s_suppkey % 3 = 0 THEN 'offline' ELSE 'online' END AS channel_type,
+  CASE s_suppkey % 3 WHEN 0 THEN 'store' WHEN 1 THEN 'web' ELSE 'marketplace' END AS platform,
+  n_name AS city, 'region ' || CAST(n_regionkey AS STRING) AS region,
+  CAST(DATE '2015-01-01' + CAST(s_suppkey * 17 % 3000 AS INT) AS STRING) AS opened_date, TRUE AS is_active
+FROM @supplier JOIN @nation ON s_nationkey = n_nationkey""",
     "raw_returns": """SELECT 'RET-' || CAST(l_orderkey AS STRING) || '-' || CAST(l_partkey AS STRING) || '-'
     || CAST(l_suppkey AS STRING) AS return_ref,
   l_orderkey AS order_id, CAST(CAST(l_shipdate AS DATE) AS STRING) AS return_date,

@@ -551,6 +551,20 @@ register("fct_orders_upsert", round_sql("fct_orders", "total_paid"))(lambda i: _
 register("fct_orders_incremental", round_sql("fct_orders", "total_paid"))(lambda i: _two_order_runs(i, 3))
 
 
+@register("fct_orders_late_payments", round_sql("fct_orders", "total_paid"))
+def _late_payments(i: Inputs) -> DataFrame:
+    """Payments from 1999 on come in a second run, for orders of any age."""
+    target, orders, payments = i.scratch("fct_orders"), i.orders(), i.payments()
+    customers = i.raw("raw_dim_customers")
+    early = _slice(payments, "ingested_at", before="1999-01-01")
+    late = _slice(payments, "ingested_at", since="1999-01-01")
+    for paid, new in ((early, None), (payments, late)):
+        job.refresh_orders(
+            i.spark, target, orders, customers, paid, RUN_AT, partition_col="order_month", new_payments=new
+        )
+    return rounded(read_target(i.spark, target), "total_paid")
+
+
 @register("fct_events_upsert", "SELECT * FROM fct_events")
 def _events_upsert(i: Inputs) -> DataFrame:
     target, events = i.scratch("fct_events"), i.raw("raw_events")
@@ -622,6 +636,7 @@ _CHECKED = {
     "fact_order_items": ("raw_order_items", lambda i: i.raw("raw_order_items")),
     "dim_customers": ("raw_dim_customers", lambda i: i.raw("raw_dim_customers")),
     "dim_products": ("raw_dim_products", lambda i: i.raw("raw_dim_products")),
+    "dim_stores": ("raw_dim_stores", lambda i: i.raw("raw_dim_stores")),
     "fact_payments": ("raw_payments", lambda i: i.raw("raw_payments")),
     "fact_events": ("raw_events", lambda i: i.raw("raw_events")),
     "raw_returns": ("raw_returns", lambda i: i.raw("raw_returns")),
@@ -672,11 +687,10 @@ def _check_sql(table: str, source: str, check: checks.Check) -> str:
 
 
 def _register_checks(name: str, declared: dict[str, list[checks.Check]]) -> None:
-    known = {t: c for t, c in declared.items() if t in _CHECKED}
-    sql = "\nUNION ALL ".join(_check_sql(t, _CHECKED[t][0], c) for t, cs in known.items() for c in cs)
+    sql = "\nUNION ALL ".join(_check_sql(t, _CHECKED[t][0], c) for t, cs in declared.items() for c in cs)
 
     def build(i: Inputs) -> DataFrame:
-        summaries = [checks.run_checks(_CHECKED[t][1](i), t, cs) for t, cs in known.items()]
+        summaries = [checks.run_checks(_CHECKED[t][1](i), t, cs) for t, cs in declared.items()]
         return reduce(DataFrame.unionByName, summaries)
 
     register(name, sql)(build)
@@ -848,8 +862,12 @@ def _stream_dedup(i: Inputs) -> DataFrame:
 
 @register("stream_upsert", "SELECT * FROM fct_events")
 def _stream_upsert(i: Inputs) -> DataFrame:
+    """The second arrival repeats known ids with a later time and another session."""
     src, first, second = _event_files(i)
     target, progress = i.scratch("fct_events"), i.scratch("progress")
+    later = (F.col("event_ts").cast("timestamp_ntz") + F.expr("INTERVAL 20 DAYS")).cast("string")
+    again = first.where(F.col("event_id").endswith("7"))
+    second = second.unionByName(again.withColumns({"event_ts": later, "session_id": F.lit("late copy")}))
     for arrived in (first, second):
         parquet.write_flat(arrived, src, mode="append")
         source = i.spark.readStream.schema(first.schema).parquet(src)
