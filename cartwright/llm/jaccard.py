@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from cartwright.llm.batches import hashes, mixed, pieces, prefix_sums, utf8
 from cartwright.llm.components import components
+from cartwright.llm.sieve import sifted
 from cartwright.session import shared_dir
 
 
@@ -359,14 +360,20 @@ def opened(sides: tuple[list[int], list[int]], sets: list[np.ndarray], s: Jaccar
             yield from ((q, x) for x in sides[1] if linked(q, x))
 
 
-def compared(docs: DataFrame, pairs: DataFrame, reps: DataFrame, s: JaccardSettings) -> DataFrame:
-    """``a, b``: links found between the groups of each pair (a, b); a pair of a group with itself looks inside."""
+def compared(docs: DataFrame, pairs: DataFrame, reps: DataFrame, folder: str, s: JaccardSettings) -> DataFrame:
+    """``a, b``: links found between the groups of each pair (a, b); a pair of a group with itself looks inside.
+
+    Only texts of the groups' documents are shuffled. Who these are is written to ``folder`` first.
+    """
     rows = pairs.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("g"), F.col("a").alias("pa"), F.col("b").alias("pb"))
     wanted = rows.join(reps, F.col("g") == F.col("gid")).groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(
         F.first("gid").alias("gid"), F.first("node").alias("node"), F.collect_list(F.struct("pa", "pb")).alias("pairs")
     )
+    wanted.write.parquet(folder)
+    wanted = docs.sparkSession.read.parquet(folder)
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row"))
-    sent = docs.join(wanted, same).select("text", "gid", "node", F.explode("pairs").alias("p")).select("p.pa", "p.pb", "gid", "node", "text")
+    near = sifted(docs, ["doc_id", "row"], wanted, ["_id", "_row"])
+    sent = near.join(wanted, same).select("text", "gid", "node", F.explode("pairs").alias("p")).select("p.pa", "p.pb", "gid", "node", "text")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 2
     ready = sent.repartition(n, "pa", "pb").sortWithinPartitions("pa", "pb", "node")
 
@@ -426,7 +433,7 @@ def joined(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) -> Da
     within = reps.groupBy("gid").count().where("count > 1").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
     seen = found.where("token is null").select("a", "b", "k", "low")
     pairs = stored(enough(seen).unionByName(within), "pairs")
-    links = stored(compared(rows, pairs, reps, s), "links")
+    links = stored(compared(rows, pairs, reps, f"{folder}/wanted", s), "links")
     labels = components(links)
 
     # Tokens in many groups: only what is still apart is left to compare.
@@ -453,7 +460,7 @@ def joined(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) -> Da
         rest = enough(together.select("a", "b", "k", "low").unionByName(before)).join(pairs, ["a", "b"], "left_anti")
         rest = stored(rest, "rest")
         if not rest.isEmpty():
-            labels = components(links.unionByName(stored(compared(rows, rest, reps, s), "more")))
+            labels = components(links.unionByName(stored(compared(rows, rest, reps, f"{folder}/wanted-rest", s), "more")))
 
     named = tags.join(labels.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").withColumn(
         "label", F.when(F.col("gid").isNotNull(), F.coalesce("label", "node"))

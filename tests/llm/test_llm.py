@@ -13,7 +13,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cartwright.llm import fingerprint, htmltext, jaccard, langid, mixing, packing, queries, repeats, topk, urlrules, warc
+from cartwright.llm import fingerprint, htmltext, jaccard, langid, mixing, packing, queries, repeats, sieve, topk, urlrules, warc
 from tools.parity import compare, connect
 
 ODD = [
@@ -237,3 +237,15 @@ def test_pipeline(spark, small, folder):
     one = {root.component_id for root in jaccard.joined(before).collect()}
     assert {r.doc_id for r in spark.read.parquet(folder("near_duplicates")).collect()} == one
     assert kept[2] == kept[1] and corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() > 0
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 25])
+def test_sieve_lets_all_keys_through_and_few_others(spark, monkeypatch, bits):
+    monkeypatch.setattr(sieve, "BITS", bits)
+    rows = spark.range(2_000).selectExpr("nullif(id, 7) AS doc_id", "id AS row", "1 AS _cell2", "'t' AS text")
+    keys = rows.where("row % 100 = 7").selectExpr("doc_id AS _id", "row AS _row")
+    found = sieve.sifted(rows, ["doc_id", "row"], keys, ["_id", "_row"])
+    assert found.columns == rows.columns
+    kept = {r.row for r in found.collect()}
+    assert kept >= {k for k in range(2_000) if k % 100 == 7} and len(kept) < (2_000 if bits == 64 else 30)
+    assert sieve.sifted(rows, ["doc_id"], keys.where("false"), ["_id"]).count() == 0
