@@ -455,6 +455,8 @@ def joined(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) -> Da
             .groupBy(F.col("gid").alias("a"), F.col("gid2").alias("b"))
             .agg(F.count(F.lit(1)).alias("k"), F.min(F.least("small", "small2")).alias("low"))
         )
+        # Written, as it is read twice.
+        together = stored(together, "together")
         # Tokens that were paired at once count as well, for pairs that also meet here.
         before = seen.join(together.select("a", "b"), ["a", "b"], "left_semi")
         rest = enough(together.select("a", "b", "k", "low").unionByName(before)).join(pairs, ["a", "b"], "left_anti")
