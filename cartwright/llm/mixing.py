@@ -68,15 +68,24 @@ def small_side(table: DataFrame, most: int = 10_000) -> DataFrame:
     return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))
 
 
-def mixed(docs: DataFrame, mix: Mixture = Mixture()) -> DataFrame:
-    """Each row as often as its Poisson count says, with ``copy`` from 1, unordered.
+def keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a ``_key`` that their draws depend on: the doc_id, or for a null id
+    a hash of all columns and a number that tells equal rows apart.
 
-    The count is the inverse distribution function at a hash of seed and doc_id,
-    so the result does not depend on partitioning.  Repeated doc_ids draw
-    alike; null ids all draw as one id; a rate of 0 drops a source.
+    Equal rows with a null id are counted and numbered by that count, so the keys do not depend on partitioning.
     """
+    named = docs.where("doc_id is not null").withColumn("_key", F.col("doc_id").cast("string"))
+    columns = [F.col(c) for c in docs.columns]
+    nameless = docs.where("doc_id is null").groupBy(*columns).agg(F.count(F.lit(1)).alias("_of"))
+    numbered = nameless.select(*columns, F.explode(F.sequence(F.lit(1).cast("long"), "_of")).alias("_nth"))
+    content = F.xxhash64(*(x for c in columns for x in (c.isNull(), c)))
+    return named.unionByName(numbered.withColumn("_key", F.concat_ws(":", F.lit("~"), content, "_nth")).drop("_nth"))
+
+
+def replicated(docs: DataFrame, mix: Mixture) -> DataFrame:
+    """``mixed`` with the ``_key`` of each row."""
     listed = small_side(rates(docs, mix))
-    joined = docs.withColumn("_u", uniform(mix.seed, F.col("doc_id"))).join(
+    joined = keyed(docs).withColumn("_u", uniform(mix.seed, F.col("_key"))).join(
         listed, F.col("source").eqNullSafe(F.col("_source"))
     )
     times = F.size(F.filter("cdf", lambda c: c <= F.col("_u")))
@@ -88,6 +97,16 @@ def mixed(docs: DataFrame, mix: Mixture = Mixture()) -> DataFrame:
     )
 
 
+def mixed(docs: DataFrame, mix: Mixture = Mixture()) -> DataFrame:
+    """Each row as often as its Poisson count says, with ``copy`` from 1, unordered.
+
+    The count is the inverse distribution function at a hash of seed and doc_id,
+    so the result does not depend on partitioning.  Repeated doc_ids draw
+    alike; each row with a null id draws for itself; a rate of 0 drops a source.
+    """
+    return replicated(docs, mix).drop("_key")
+
+
 def shuffled(docs: DataFrame, seed: int, *keys: str) -> DataFrame:
     """All rows dealt to partitions by a seeded hash and sorted by it within each:
     a uniform order over the whole table, the same on every run."""
@@ -100,4 +119,7 @@ def shuffled(docs: DataFrame, seed: int, *keys: str) -> DataFrame:
 
 def mix(docs: DataFrame, mixture: Mixture = Mixture()) -> DataFrame:
     """Replicate to the target weights and shuffle globally; adds ``copy``."""
-    return shuffled(mixed(docs, mixture), mixture.seed, "doc_id", "copy")
+    # Null in all rows that have an id, where it leaves the hash as it is.
+    own = F.when(F.col("doc_id").isNull(), F.col("_key"))
+    rows = replicated(docs, mixture).withColumn("_key", own)
+    return shuffled(rows, mixture.seed, "doc_id", "copy", "_key").drop("_key")

@@ -179,6 +179,26 @@ def test_mixing_reaches_the_weights(small, odd):
     assert mixing.mix(small.where("false")).count() == 0
 
 
+def test_mixing_draws_each_row_with_a_null_id_for_itself(spark):
+    """A third of the rows has no id; some of them are equal."""
+    docs = spark.range(9_000).selectExpr(
+        "if(id % 3 = 0, null, id) AS doc_id", "if(id % 15 < 6, 'same', concat('text ', id)) AS text", "'xx' AS lang",
+        "if(id % 9 < 6, 'big', if(id % 2 = 0, 'small', null)) AS source", "1L AS n_chars",
+    )
+    rate = {r._source: r.rate for r in mixing.rates(docs, mixing.Mixture()).collect()}
+    out = mixing.mix(docs)
+    for nameless in ("doc_id is null", "doc_id is null and text = 'same'", "doc_id is not null"):
+        n = {r.source: r["count"] for r in docs.where(nameless).groupBy("source").count().collect()}
+        got = {r.source: r["count"] for r in out.where(nameless).groupBy("source").count().collect()}
+        assert set(n) == set(rate)
+        for source, rows in n.items():
+            mean = rows * rate[source]
+            assert abs(got[source] - mean) < 5 * mean**0.5, (nameless, source)
+    assert sorted(map(str, out.collect())) == sorted(map(str, mixing.mix(docs.repartition(7)).collect()))
+    part = out.where("doc_id is null").groupBy(F.spark_partition_id()).count().collect()
+    assert len(part) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_fingerprints(small, odd):
     for docs in (small, odd.where("doc_id is not null").dropDuplicates(["doc_id"])):
         rows = sorted(texts_of(docs), reverse=True)
