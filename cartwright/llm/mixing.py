@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 class Mixture:
     """``weights``: relative target weight by source; sources that are not named
     get their number of rows to the power ``temper``.  ``epochs``: rows out per
-    row in, on average.  ``most_rate``: a larger repetition rate is refused."""
+    row in, on average.  ``most_rate``: a larger repetition rate is drawn in equal
+    parts of at most so much, as exp(-rate) is 0 in a double beyond 745."""
 
     weights: tuple[tuple[str, float], ...] = ()
     temper: float = 0.5
@@ -28,8 +29,9 @@ def uniform(seed: int, *values: Column) -> Column:
 
 
 def rates(docs: DataFrame, mix: Mixture) -> DataFrame:
-    """``_source, rate, cdf``: the mean number of copies of each source and its
-    Poisson distribution function, as far as it differs from 1 in a double.
+    """``_source, rate, parts, cdf``: the mean number of copies of each source, the number of
+    equal parts it is drawn in, and the Poisson distribution function of a part, as
+    far as it differs from 1 in a double.
 
     Counts cover all rows; null is a source of its own.
     """
@@ -40,22 +42,24 @@ def rates(docs: DataFrame, mix: Mixture) -> DataFrame:
     weighed = counted.withColumn("weight", weight.cast("double"))
     whole = weighed.agg(F.sum("n").alias("all_n"), F.sum("weight").alias("all_weight"))
     rate = F.round(F.col("weight") / F.col("all_weight") * F.col("all_n") * F.lit(mix.epochs) / F.col("n"), 9)
-    checked = F.when(rate <= mix.most_rate, rate).otherwise(F.raise_error(F.lit("a repetition rate is too large")))
-    steps = F.sequence(F.lit(1), (F.ceil(F.col("rate") + 12 * F.sqrt("rate")) + 20).cast("int"))
-    # p(k) = p(k - 1) * rate / k, and their running sums, in one fold.
+    parts = F.greatest(F.lit(1), F.ceil(F.col("rate") / F.lit(mix.most_rate)).cast("int"))
+    steps = F.sequence(F.lit(1), (F.ceil(F.col("part") + 12 * F.sqrt("part")) + 20).cast("int"))
+    # p(k) = p(k - 1) * part / k, and their running sums, in one fold.
     start = F.struct(
-        F.exp(-F.col("rate")).alias("p"), F.exp(-F.col("rate")).alias("sum"), F.array(F.exp(-F.col("rate"))).alias("cdf")
+        F.exp(-F.col("part")).alias("p"), F.exp(-F.col("part")).alias("sum"), F.array(F.exp(-F.col("part"))).alias("cdf")
     )
 
     def step(so_far: Column, k: Column) -> Column:
-        p = so_far["p"] * F.col("rate") / k
+        p = so_far["p"] * F.col("part") / k
         total = so_far["sum"] + p
         return F.struct(p.alias("p"), total.alias("sum"), F.concat(so_far["cdf"], F.array(total)).alias("cdf"))
 
     return (
         weighed.crossJoin(F.broadcast(whole))  # one row of totals
-        .withColumn("rate", checked)
-        .select("_source", "rate", F.aggregate(steps, start, step)["cdf"].alias("cdf"))
+        .withColumn("rate", rate)
+        .withColumn("parts", parts)
+        .withColumn("part", F.col("rate") / F.col("parts"))
+        .select("_source", "rate", "parts", F.aggregate(steps, start, step)["cdf"].alias("cdf"))
     )
 
 
@@ -88,12 +92,16 @@ def replicated(docs: DataFrame, mix: Mixture) -> DataFrame:
     joined = keyed(docs).withColumn("_u", uniform(mix.seed, F.col("_key"))).join(
         listed, F.col("source").eqNullSafe(F.col("_source"))
     )
-    times = F.size(F.filter("cdf", lambda c: c <= F.col("_u")))
+    # Independent Poisson counts add up to one of the summed rate; the first part draws as a whole rate does.
+    first = F.size(F.filter("cdf", lambda c: c <= F.col("_u")))
+    others = F.transform(F.sequence(F.lit(2), F.col("parts")), lambda k: uniform(mix.seed, F.col("_key"), k))
+    more = F.aggregate(others, F.lit(0), lambda n, u: n + F.size(F.filter("cdf", lambda c: c <= u)))
+    times = first + F.when(F.col("parts") > 1, more).otherwise(F.lit(0))
     return (
         joined.withColumn("_n", times)
         .where("_n > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-        .drop("_u", "_source", "rate", "cdf", "_n")
+        .drop("_u", "_source", "rate", "parts", "cdf", "_n")
     )
 
 

@@ -199,6 +199,22 @@ def test_mixing_draws_each_row_with_a_null_id_for_itself(spark):
     assert len(part) == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_mixing_draws_large_rates_in_parts(spark):
+    docs = spark.range(200).selectExpr("id AS doc_id", "'t' AS text", "if(id < 150, 'a', if(id < 190, 'b', null)) AS source")
+    large = mixing.Mixture(weights=(("a", 1.0), ("b", 1.0), ("~", 1.0)), epochs=450.0)
+    listed = {r._source: (r.rate, r.parts) for r in mixing.rates(docs, large).collect()}
+    assert listed == {"a": (200.0, 1), "b": (750.0, 2), None: (3000.0, 6)}
+    n = collections.Counter((r.source, r.doc_id) for r in mixing.mix(docs, large).collect())
+    for source, rows in (("a", 150), ("b", 40), (None, 10)):
+        rate, got = listed[source][0], [v for (s, _), v in n.items() if s == source]
+        assert len(got) == rows and abs(sum(got) - rows * rate) < 5 * (rows * rate) ** 0.5
+        assert len(set(got)) > 1 and max(abs(v - rate) for v in got) < 6 * rate**0.5
+    # The production weights: one row in the smallest of two sources.
+    one = spark.range(1_002_001).selectExpr("id AS doc_id", "if(id = 0, 'few', 'many') AS source")
+    got = mixing.mixed(one).where("source = 'few'").count()
+    assert abs(got - 1_002_001 / 1_002) < 6 * 1_000**0.5
+
+
 def test_fingerprints(small, odd):
     for docs in (small, odd.where("doc_id is not null").dropDuplicates(["doc_id"])):
         rows = sorted(texts_of(docs), reverse=True)
