@@ -410,13 +410,12 @@ def _links(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def joined(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) -> DataFrame:
-    """``doc_id, row, n_shingles, component_id`` for each row of ``docs`` (doc_id, text).
+def labelled(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) -> DataFrame:
+    """``doc_id, row, n_shingles, label`` for each row of ``docs`` (doc_id, text).
 
-    ``component_id`` is the smallest doc_id reachable by links, its own included; ``row`` is a hash of the text that
-    tells rows with equal ids apart. Equal sets are one node, whatever their number. A null or wordless text has an
-    empty set, links with nothing and is its own component. Null ids never are a component's smallest
-    id; a component of such rows only has a null id.
+    Rows have the same ``label``, a 64-bit hash of one of their sets, exactly if links connect them, whatever their ids;
+    ``row`` is a hash of the text that tells rows with equal ids apart. Equal sets are one node, whatever their number.
+    A null or wordless text has an empty set, links with nothing and has a null label.
     """
     s, spark = settings, docs.sparkSession
     folder = f"{shared_dir(spark)}/jaccard-{uuid.uuid4().hex}"
@@ -464,10 +463,21 @@ def joined(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) -> Da
         if not rest.isEmpty():
             labels = components(links.unionByName(stored(compared(rows, rest, reps, f"{folder}/wanted-rest", s), "more")))
 
-    named = tags.join(labels.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").withColumn(
-        "label", F.when(F.col("gid").isNotNull(), F.coalesce("label", "node"))
-    )
-    least = named.where("gid is not null").groupBy(F.col("label").alias("_label")).agg(F.min("doc_id").alias("least"))
+    label = F.when(F.col("gid").isNotNull(), F.coalesce("label", "node"))
+    named = tags.join(labels.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
+    return named.select("doc_id", "row", F.col("n").alias("n_shingles"), label.alias("label"))
+
+
+def joined(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) -> DataFrame:
+    """``doc_id, row, n_shingles, label, component_id`` for each row of ``docs`` (doc_id, text); the first four
+    as from ``labelled``.
+
+    ``component_id`` is the smallest doc_id reachable by links, its own included. A null or wordless text is its own
+    component. Null ids never are a component's smallest id; a component of such rows only has a null id.
+    """
+    named = labelled(docs, settings)
+    least = named.where("label is not null").groupBy(F.col("label").alias("_label")).agg(F.min("doc_id").alias("least"))
+    own = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("least"))
     return named.join(least, F.col("label") == F.col("_label"), "left").select(
-        "doc_id", "row", F.col("n").alias("n_shingles"), F.when(F.col("gid").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
+        "doc_id", "row", "n_shingles", "label", own.alias("component_id")
     )

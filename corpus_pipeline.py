@@ -29,11 +29,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id stays; of
-    repeated rows one. Documents without words link with nothing and stay."""
-    found = jaccard.joined(docs.select("doc_id", "text"))
-    one = F.min(F.struct("doc_id", "row")).alias("one")
-    grouped = found.where("n_shingles > 0").groupBy("component_id").agg(one).select("one.*")
+    """Of each group of linked documents the one with the smallest doc_id stays, one with a null
+    id only if none has an id; of repeated rows one. Groups follow from the links alone, not from ids. Documents
+    without words link with nothing and stay."""
+    found = jaccard.labelled(docs.select("doc_id", "text"))
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row")).alias("one")
+    grouped = found.where("n_shingles > 0").groupBy("label").agg(one).select("one.doc_id", "one.row")
     stay = grouped.unionByName(found.where("n_shingles = 0").select("doc_id", "row").distinct())
     stay = stay.withColumnsRenamed({"doc_id": "_id", "row": "_of"})
     rows = docs.withColumn("_row", F.xxhash64(F.coalesce("text", F.lit(""))))

@@ -262,6 +262,55 @@ def test_packing_covers_every_id_once(small, odd):
     assert packing.pack(odd.where("false")).count() == 0
 
 
+def unlike(k: int) -> str:
+    return " ".join(f"w{k}x{j}" for j in range(40))
+
+
+#: Null and repeated ids: copies, near copies (one word more), unlinked texts, texts without words.
+NAMELESS = [
+    *((None, unlike(k)) for k in range(6)), (None, unlike(0)), (None, unlike(6)), (70, unlike(6) + " more"), (71, unlike(6)),
+    (7, unlike(7)), (7, unlike(8)), (7, unlike(8)), (9, unlike(9)), (9, unlike(9) + " more"), (None, unlike(10)),
+    (None, unlike(10) + " more"), (12, "?! ..."), (13, ""), (14, None), (-3, unlike(11)), (-3, unlike(12)), (5, unlike(12) + " more"),
+]
+
+
+def stay_by_hand(rows: list[tuple]) -> list[list[tuple]]:
+    """Groups of linked rows, of each of which one with the smallest id, nulls last, stays."""
+    sets, groups = [sets_by_hand(t or "") for _, t in rows], []
+    for k, x in enumerate(sets):
+        linked = [g for g in groups if x and any(100 * len(x & sets[j]) >= 75 * len(x | sets[j]) for j in g)]
+        groups = [g for g in groups if g not in linked] + [[k, *(j for g in linked for j in g)]]
+    least = [min((rows[j][0] is None, rows[j][0] or 0) for j in g) for g in groups]
+    return [[rows[j] for j in g if (rows[j][0] is None, rows[j][0] or 0) == low] for g, low in zip(groups, least)]
+
+
+def test_near_duplicates_with_null_and_repeated_ids(spark, folder, monkeypatch):
+    docs = spark.createDataFrame(NAMELESS, "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "1L AS n_chars")
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()]
+    groups = stay_by_hand(NAMELESS)
+    assert len(kept) == len(groups) == 16
+    for allowed in groups:
+        assert sum(kept.count(one) for one in set(allowed)) == 1, allowed
+
+    # The whole run, with no row repeated or left out by the mixture: tokens per id are those of the rows that stay.
+    from tokenizers import Tokenizer
+
+    docs.write.parquet(folder("documents.parquet"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [s for s in corpus_pipeline.STAGES if s[0] not in ("language_id", "target_weights")])
+    plain = Tokenizer.from_file(packing.PackSettings().vocabulary)
+    # Repeats of 200 bytes are gone after near duplicates, as unlike() texts have nothing in common.
+    got, want = collections.Counter(), collections.Counter()
+    for r in corpus_pipeline.run(spark, folder("")).collect():
+        got[r.doc_id] += r.length
+    sizes = collections.defaultdict(set)
+    for group in groups:
+        for key, text in group:
+            sizes[key].add(text or "")
+    for key, text in kept:
+        want[key] += len(plain.encode(text or "", add_special_tokens=False).ids) + 1
+    assert set(got) == set(sizes) and got == want
+
+
 def test_pipeline(spark, small, folder):
     docs, kept = small, []
     for name, stage in corpus_pipeline.STAGES[:-1]:
