@@ -119,18 +119,27 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", settings: N
     return Model(languages, np.log(smooth / smooth.sum(axis=0, keepdims=True)).astype(np.float32), settings)
 
 
-def score_texts(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray]:
-    """The most probable language of each text and its posterior under equal priors.
+def least_means(model: Model) -> np.ndarray:
+    """For each language, half way between the mean log-probability of an n-gram of its labelled rows (smoothed
+    as the model is) and that of a feature drawn at random, which any other text comes near to or goes below; but
+    at least that of a uniform model, which explains a text better that is below it."""
+    value = model.log_probability.astype(np.float64)
+    return np.maximum(((np.exp(value) * value).sum(axis=0) + value.mean(axis=0)) / 2, -np.log(len(value)))
 
-    ``und`` with score 0 for null, for text without a letter, and when no
+
+def score_texts(texts: list[str | None], model: Model) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The most probable language of each text, its posterior under equal priors, and by how much the text's
+    mean log-probability per n-gram is above the least of that language; the latter does not grow with the length.
+
+    ``und`` with score and margin 0 for null, for text without a letter, and when no
     language was learned.  Equal posteriors go to the first name.
     """
     names = np.full(len(texts), UNDETERMINED, object)
-    score = np.zeros(len(texts))
+    score, margin = np.zeros(len(texts)), np.zeros(len(texts))
     known = [k for k, t in enumerate(texts) if t is not None and _LETTER.search(t)]
     if not model.languages or not known:
-        return list(names), score
-    done = 0
+        return list(names), score, margin
+    done, least = 0, least_means(model)
     for ids, bounds in _features([texts[k].lower() for k in known], model.settings):
         n = len(bounds) // 2
         total = np.zeros((n, len(model.languages)))
@@ -142,22 +151,23 @@ def score_texts(texts: list[str | None], model: Model) -> tuple[list[str], np.nd
         where = known[done : done + n]
         names[where] = np.array(model.languages, object)[best]
         score[where] = chance.round(6)
+        margin[where] = total[np.arange(n), best] / (len(ids) * (bounds[1::2] - bounds[::2])) - least[best]
         done += n
-    return list(names), score
+    return list(names), score, margin
 
 
 def predictor(df: DataFrame, model: Model):
-    """A vectorised function of a text column: struct of ``lang_pred`` and ``score``.
+    """A vectorised function of a text column: struct of ``lang_pred``, ``score`` and ``margin``.
 
     The broadcast matrix has at most most_languages x 2 ** bits numbers."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, margin double")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             values = [t if isinstance(t, str) else None for t in texts]
-            names, score = score_texts(values, shared.value)
-            yield pd.DataFrame({"lang_pred": names, "score": score})
+            names, score, margin = score_texts(values, shared.value)
+            yield pd.DataFrame({"lang_pred": names, "score": score, "margin": margin})
 
     return predict
 

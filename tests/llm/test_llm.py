@@ -136,6 +136,22 @@ def test_languages_of_held_out_documents(small, odd):
     assert {r[0] for r in langid.identify(small, none).select("_lang.lang_pred").distinct().collect()} == {"und"}
 
 
+def test_language_id_rejects_noise_and_foreign_text(spark, small):
+    draw = np.random.default_rng(7)
+    signs = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
+    russian = "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. "
+    chinese = "道可道非常道名可名非常名無名天地之始有名萬物之母故常無欲以觀其妙常有欲以觀其徼"
+    noise = ["".join(draw.choice(signs, n)) for n in (50, 200, 2_000) for _ in range(5)]
+    planted = [*noise, russian[:21], russian, russian * 20, chinese, chinese * 20]
+    rows = [(10_000 + k, text, "en" if k < len(noise) and k % 2 else None, "s", len(text)) for k, text in enumerate(planted)]
+    docs = small.unionByName(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"))
+    found = langid.identify(docs, langid.learned_from(docs))
+    assert found.where("doc_id >= 10000 and _lang.score > 0.9").count() > 10
+    kept = {r.doc_id for r in corpus_pipeline.language_id(spark, docs, SMALL).collect()}
+    assert kept == {r.doc_id for r in small.where("text rlike '[A-Za-z]'").collect()}
+    assert corpus_pipeline.language_id(spark, docs.withColumn("lang", F.lit(None).cast("string")), SMALL).count() == 0
+
+
 def test_url_rules(spark):
     rows = [(1, None), (2, "no scheme"), (3, "http://NET"), (4, "http://a.Net/x?y"), (5, "x://example.net/en/a#b"), (6, "http://planet/"), (7, "http://b.org/fr/"), (7, "http://b.org/fr/")]
     rules = spark.createDataFrame(queries.RULES, "host string, path string, verdict string")
