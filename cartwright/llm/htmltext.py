@@ -25,6 +25,13 @@ UNREAD = frozenset(
     "canvas dialog menu object audio video".split()
 )
 BOUNDARY = frozenset({"article", "main"})
+#: Elements that are parts of a text, so never its region.
+PARTS = SELF_CLOSING | frozenset(
+    "h1 h2 h3 h4 h5 h6 hgroup address blockquote pre figure figcaption details summary ul ol dl "
+    "table thead tbody tfoot legend fieldset".split()
+)
+#: Blocks of running text, which belong to the content they adjoin, however short.
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 hgroup p pre blockquote figure figcaption".split())
 #: Words in class, id or role that mark what isn't the article.
 MARKS = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo promotion nav navbar navigation menu "
@@ -39,8 +46,8 @@ _CUT_TAG = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?\Z")
 @dataclass(frozen=True)
 class Ratios:
     """``sigma``: of the Gaussian over neighbouring blocks; ``share``: a block is content at this
-    share of the standard deviation of the smoothed ratios; ``cover``: share of the content's characters
-    that its region holds."""
+    share of the standard deviation of the smoothed ratios; ``cover``: article and main elements that hold this
+    share of the content's characters hold the region."""
 
     sigma: float = 1.0
     share: float = 1.0
@@ -130,9 +137,11 @@ def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
 def main_text(html: str | None, settings: Ratios = Ratios()) -> str:
     """The article's blocks in page order, joined by one space; empty if there are none.
 
-    Blocks whose smoothed text-to-tag ratio passes the threshold are content; the
-    innermost container with most of their characters is their region, widened to the
-    article or main element around it.  All of the region's blocks belong to the text, short
+    Blocks whose smoothed text-to-tag ratio passes the threshold are content, with the headings and paragraphs
+    next to them; the
+    innermost container that holds all of them is their region, widened to the
+    article or main element around it. Where article or main elements hold most of the content,
+    only theirs counts. All of the region's blocks belong to the text, short
     ones too, but for those that an element marks as menu, notice, comment and so on.
     """
     page = outline(html or "")
@@ -144,25 +153,34 @@ def main_text(html: str | None, settings: Ratios = Ratios()) -> str:
     content = readable & (level >= settings.share * level.std())
     if not content.any():
         content = readable
-    inside = np.zeros(len(page.parent))
-    for (text, _, container, _), mine in zip(page.blocks, content):
-        if mine:
-            inside[container] += len(text)
-    for k in range(len(page.parent) - 1, 0, -1):  # children come after their parents
+    for order in (range(len(content)), range(len(content) - 1, -1, -1)):
+        near = False
+        for k in order:
+            near = bool(content[k]) or near and bool(readable[k]) and page.name[page.blocks[k][2]] in PROSE
+            content[k] = near
+    # Children come after their parents.
+    bounded = [False] * len(page.parent)
+    for k in range(1, len(page.parent)):
+        bounded[k] = page.name[k] in BOUNDARY or bounded[page.parent[k]]
+    theirs = content & np.array([bounded[container] for _, _, container, _ in page.blocks], bool)
+    sizes = np.array([len(text) for text, _, _, _ in page.blocks])
+    if sizes[theirs].sum() >= settings.cover * sizes[content].sum():
+        content = theirs
+    inside = [0] * len(page.parent)
+    for (_, _, container, _), mine in zip(page.blocks, content):
+        inside[container] += int(mine)
+    for k in range(len(page.parent) - 1, 0, -1):
         inside[page.parent[k]] += inside[k]
     region = 0
     for k in range(1, len(page.parent)):  # the last that qualifies is the innermost
-        if inside[k] >= settings.cover * inside[0]:
+        if inside[k] == inside[0]:
             region = k
     up = region
-    while up > 0:
-        if page.name[up] in BOUNDARY:
-            region = up
-            break
+    while up > 0 and page.name[up] not in BOUNDARY:
         up = page.parent[up]
-    else:
-        if page.name[region] in SELF_CLOSING or page.name[region][:1] == "h" and page.name[region][1:].isdigit():
-            region = page.parent[region]
+    region = up or region
+    while page.name[region] in PARTS:
+        region = page.parent[region]
     within = {region}
     for k in range(region + 1, len(page.parent)):
         if page.parent[k] in within:

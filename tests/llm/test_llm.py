@@ -184,6 +184,28 @@ def test_main_text(spark):
         assert htmltext.main_text(html) == " ".join(entities.unescape(re.sub("<[^>]*>", " ", inner)).split()), page_id
 
 
+def prose(k: int, n: int) -> str:
+    return " ".join(f"word{k}n{j}" for j in range(n))
+
+
+@pytest.mark.parametrize(
+    "before, most, after",
+    [
+        (f"<div class=lead><p>{prose(1, 9)}</p></div>", "<div class=body>" + "".join(f"<p>{prose(k, 60)}</p>" for k in range(2, 7)) + "</div>", ""),
+        ("<h1>A head</h1>", "<div class=body>" + "".join(f"<p>{prose(k, 60)}</p>" for k in range(2, 7)) + "</div>", ""),
+        (f"<p>{prose(1, 6)}</p><p>{prose(2, 6)}</p>", f"<pre>{prose(3, 400)}</pre>", f"<p>{prose(4, 6)}</p><p>{prose(5, 6)}</p>"),
+        (f"<p>{prose(1, 6)}</p>", f"<blockquote><p>{prose(3, 300)}</p><p>{prose(7, 300)}</p></blockquote>", f"<p>{prose(4, 6)}</p>"),
+        (f"<p>{prose(1, 6)}</p>", f"<table><tbody><tr><td>{prose(3, 200)}</td><td>{prose(7, 200)}</td></tr></tbody></table>", f"<p>{prose(4, 6)}</p>"),
+        (f"<p>{prose(1, 6)}</p><p>{prose(2, 6)}</p>", "<ul>" + "".join(f"<li>{prose(k, 40)}</li>" for k in range(3, 20)) + "</ul>", f"<p>{prose(1, 6)}</p>"),
+    ],
+)
+@pytest.mark.parametrize("around", ["{}", "<div>{}</div>", "<article>{}</article>"])
+def test_main_text_keeps_what_stands_beside_the_largest_container(around, before, most, after):
+    whole = before + most + after
+    page = "<html><head><title>t</title></head><body><nav><a>Home</a><a>News</a></nav>{}<footer>me</footer></body></html>"
+    assert htmltext.main_text(page.format(around.format(whole))) == " ".join(re.sub("<[^>]*>", " ", whole).split())
+
+
 def test_mixing_reaches_the_weights(small, odd):
     wanted = mixing.Mixture(weights=(("src0", 3.0), ("src1", 1.0)), epochs=50.0)
     some = small.where("source in ('src0', 'src1')")
