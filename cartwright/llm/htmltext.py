@@ -32,17 +32,33 @@ PARTS = SELF_CLOSING | frozenset(
 )
 #: Blocks of running text, which belong to the content they adjoin, however short.
 PROSE = frozenset("h1 h2 h3 h4 h5 h6 hgroup p pre blockquote figure figcaption".split())
-#: Words in class, id or role that mark what isn't the article.
+#: Words in class, id or role that mark what isn't the article, if a name has no other words than these and PLACES.
 MARKS = frozenset(
     "ad ads advert adverts advertisement banner sponsor sponsored promo promotion nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar complementary cookie cookies consent notice popup modal overlay newsletter "
     "subscribe subscription share sharing social related recommended comment comments disqus reply replies "
     "footer contentinfo masthead copyright login signup search widget toolbar pagination pager".split()
 )
+#: Words that say where or what shape such an element is, not what is in it.
+PLACES = frozenset(
+    "site post posts entry area list section box block container wrapper wrap inner outer bar buttons button links link "
+    "item items form thread primary secondary top bottom left right header global sticky".split()
+)
 _WORDS = re.compile(r"[a-z]+")
 _CUT_TAG = re.compile(r"<(?:[a-zA-Z/!?][^<>]*)?\Z")
 
 
+def marks(names: str) -> int:
+    """2 if a whole name of class, id or role says that the element isn't the article, 1 if a word within a
+    name does, which a layout wrapper can have too, else 0."""
+    found = 0
+    for name in names.lower().split():
+        words = set(_WORDS.findall(name))
+        if words & MARKS:
+            found = max(found, 2 if words <= MARKS | PLACES else 1)
+    return found
+
+
 @dataclass(frozen=True)
 class Ratios:
     """``sigma``: of the Gaussian over neighbouring blocks; ``share``: a block is content at this
@@ -56,12 +72,12 @@ class Ratios:
 
 class Outline(HTMLParser):
     """Turns parser events into blocks: text, tags met, innermost container, and
-    whether an element around it marks it as something else than content."""
+    whether the kind of an element around it says that it is something else than content."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.parent, self.name = [-1], [""]  # of each container; 0 is the page
-        self.open: list[tuple[str, int, bool]] = [("", 0, False)]  # element, container, unread
+        self.parent, self.name, self.mark = [-1], [""], [0]  # of each container; 0 is the page
+        self.open: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # element, container, unread, unread or marked
         self.blocks: list[tuple[str, int, int, bool]] = []
         self._text: list[str] = []
         self._tags = 0
@@ -69,7 +85,7 @@ class Outline(HTMLParser):
     def end_block(self) -> None:
         text = " ".join("".join(self._text).split())
         if text:
-            _, container, unread = self.open[-1]
+            _, container, unread, _ = self.open[-1]
             self.blocks.append((text, self._tags, container, unread))
             self._tags = 0
         self._text.clear()
@@ -83,19 +99,20 @@ class Outline(HTMLParser):
         self.end_block()
         if tag in BOUNDARY:
             # An article never stands in a menu or an advert: those were left open.
-            while self.open[-1][2] and len(self.open) > 1:
+            while self.open[-1][3] and len(self.open) > 1:
                 self.open.pop()
         elif tag in SELF_CLOSING:
             self._close(tag, stop=BLOCKS - SELF_CLOSING)
-        _, container, unread = self.open[-1]
-        in_article = any(name in BOUNDARY for name, _, _ in self.open)
-        marked = tag in UNREAD or tag == "header" and not in_article
-        if not marked and tag not in BOUNDARY and tag not in ("body", "html"):
-            said = " ".join(v for k, v in attrs if k in ("class", "id", "role") and v).lower()
-            marked = bool(said) and not MARKS.isdisjoint(_WORDS.findall(said))
+        _, container, unread, aside = self.open[-1]
+        in_article = any(one[0] in BOUNDARY for one in self.open)
+        other = tag in UNREAD or tag == "header" and not in_article
+        mark = 0
+        if not other and tag not in BOUNDARY and tag not in ("body", "html"):
+            mark = marks(" ".join(v for k, v in attrs if k in ("class", "id", "role") and v))
         self.parent.append(container)
         self.name.append(tag)
-        self.open.append((tag, len(self.parent) - 1, unread or marked))
+        self.mark.append(mark)
+        self.open.append((tag, len(self.parent) - 1, unread or other, aside or other or mark == 2))
 
     def _close(self, tag: str, stop: frozenset = frozenset()) -> None:
         for k in range(len(self.open) - 1, 0, -1):
@@ -134,6 +151,44 @@ def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
     return total / np.convolve(np.ones(len(ratios)), weights)[reach : reach + len(ratios)]
 
 
+def summed(page: Outline, values: np.ndarray) -> list[int]:
+    """Sums of a value of the blocks in each container and all below it."""
+    out = [0] * len(page.parent)
+    for (_, _, container, _), value in zip(page.blocks, values):
+        out[container] += int(value)
+    for k in range(len(out) - 1, 0, -1):  # children come after their parents
+        out[page.parent[k]] += out[k]
+    return out
+
+
+def in_boundary(page: Outline) -> list[bool]:
+    """For each container, whether it is an article or main element or in one."""
+    out = [False] * len(page.parent)
+    for k in range(1, len(out)):
+        out[k] = page.name[k] in BOUNDARY or out[page.parent[k]]
+    return out
+
+
+def unmarked(page: Outline, level: np.ndarray, least: float, cover: float) -> np.ndarray:
+    """For each block, whether no mark of an element around it counts.
+
+    A whole name counts unless its element holds most of the page's text, and ``cover`` of that in article and main
+    elements if there are any; a word within a name counts if also the smoothed ratio of most of
+    the element's text is low and no article or main element is inside.
+    """
+    sizes = np.array([0 if unread else len(text) for text, _, _, unread in page.blocks])
+    size, low = summed(page, sizes), summed(page, np.where(level < least, sizes, 0))
+    bounded = in_boundary(page)
+    theirs = summed(page, np.where([bounded[container] for _, _, container, _ in page.blocks], sizes, 0))
+    away = [False] * len(page.parent)
+    for k in range(1, len(away)):
+        most = 2 * size[k] > size[0] and theirs[k] >= cover * theirs[0]
+        weak = 2 * low[k] > size[k] and (bounded[k] or theirs[k] == 0)
+        counts = page.mark[k] > 0 and not most and (page.mark[k] == 2 or weak)
+        away[k] = away[page.parent[k]] or counts
+    return np.array([not unread and not away[container] for _, _, container, unread in page.blocks], bool)
+
+
 def main_text(html: str | None, settings: Ratios = Ratios()) -> str:
     """The article's blocks in page order, joined by one space; empty if there are none.
 
@@ -146,11 +201,14 @@ def main_text(html: str | None, settings: Ratios = Ratios()) -> str:
     """
     page = outline(html or "")
     ratios = np.array([len(text) / max(1, tags) for text, tags, _, _ in page.blocks])
-    readable = np.array([not unread for _, _, _, unread in page.blocks], bool)
-    if not readable.any():
+    if not len(ratios):
         return ""
     level = smoothed(ratios, settings.sigma)
-    content = readable & (level >= settings.share * level.std())
+    least = settings.share * level.std()
+    readable = unmarked(page, level, least, settings.cover)
+    if not readable.any():
+        return ""
+    content = readable & (level >= least)
     if not content.any():
         content = readable
     for order in (range(len(content)), range(len(content) - 1, -1, -1)):
@@ -158,19 +216,12 @@ def main_text(html: str | None, settings: Ratios = Ratios()) -> str:
         for k in order:
             near = bool(content[k]) or near and bool(readable[k]) and page.name[page.blocks[k][2]] in PROSE
             content[k] = near
-    # Children come after their parents.
-    bounded = [False] * len(page.parent)
-    for k in range(1, len(page.parent)):
-        bounded[k] = page.name[k] in BOUNDARY or bounded[page.parent[k]]
+    bounded = in_boundary(page)
     theirs = content & np.array([bounded[container] for _, _, container, _ in page.blocks], bool)
     sizes = np.array([len(text) for text, _, _, _ in page.blocks])
     if sizes[theirs].sum() >= settings.cover * sizes[content].sum():
         content = theirs
-    inside = [0] * len(page.parent)
-    for (_, _, container, _), mine in zip(page.blocks, content):
-        inside[container] += int(mine)
-    for k in range(len(page.parent) - 1, 0, -1):
-        inside[page.parent[k]] += inside[k]
+    inside = summed(page, content)
     region = 0
     for k in range(1, len(page.parent)):  # the last that qualifies is the innermost
         if inside[k] == inside[0]:
@@ -185,7 +236,7 @@ def main_text(html: str | None, settings: Ratios = Ratios()) -> str:
     for k in range(region + 1, len(page.parent)):
         if page.parent[k] in within:
             within.add(k)
-    return " ".join(b[0] for b in page.blocks if b[2] in within and not b[3])
+    return " ".join(b[0] for b, mine in zip(page.blocks, readable) if mine and b[2] in within)
 
 
 def extract(pages: DataFrame, settings: Ratios = Ratios(), key: str = "page_id") -> DataFrame:

@@ -206,6 +206,23 @@ def test_main_text_keeps_what_stands_beside_the_largest_container(around, before
     assert htmltext.main_text(page.format(around.format(whole))) == " ".join(re.sub("<[^>]*>", " ", whole).split())
 
 
+@pytest.mark.parametrize(
+    "names",
+    ["class='content has-sidebar'", "class='elementor-widget elementor-widget-text-editor'", "id='search-page'",
+     "class='no-comments'", "class='social-policy'", "class='widget'"],
+)
+def test_main_text_of_layout_wrappers_with_marks_in_their_names(names):
+    text = "".join(f"<p>{prose(k, 60)}</p>" for k in range(4))
+    want = " ".join(re.sub("<[^>]*>", " ", text).split())
+    junk = "<div class='comment-list'><p>I like this very much indeed</p></div><div class='my-share-x'><a>One</a><a>Two</a></div>"
+    page = "<html><body><nav><a>Home</a></nav>{}" + junk + "<footer>me</footer></body></html>"
+    assert htmltext.main_text(page.format(f"<div {names}>{text}</div>")) == want
+    assert htmltext.main_text(page.format(f"<article><div {names}>{text}</div></article>")) == want
+    if names != "class='widget'":
+        parts = "".join(f"<div {names}>{p}</p></div>" for p in text.split("</p>")[:-1])
+        assert htmltext.main_text(page.format(parts)) == want
+
+
 def test_mixing_reaches_the_weights(small, odd):
     wanted = mixing.Mixture(weights=(("src0", 3.0), ("src1", 1.0)), epochs=50.0)
     some = small.where("source in ('src0', 'src1')")
