@@ -133,20 +133,19 @@ def usable(embedding: Column) -> Column:
 
 
 def integer_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """``id, v, dim``: one vector per id.
+    """``id, v, dim`` of each row.
 
-    Rows with a null id or an unusable vector take no part.  Repeated rows of an id
-    count once; if their vectors differ, the smallest counts.
+    Rows with a null id or an unusable vector take no part.  Repeated rows of an id all stay.
     """
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(embedding).alias("e"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("e"))).select("id", scaled(F.col("e")).alias("v"))
-    return rows.groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    return rows.withColumn("dim", F.size("v"))
 
 
 def _dealt(rows: DataFrame, size: int) -> tuple[DataFrame, int]:
-    """Rows with a ``part`` by hash of the id, about ``size`` rows each."""
+    """Rows with a ``part`` by hash of id and vector, about ``size`` rows each."""
     parts = max(1, -(-rows.count() // size))
-    return rows.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")), parts
+    return rows.withColumn("part", F.pmod(F.xxhash64("id", "v"), F.lit(parts)).cast("int")), parts
 
 
 def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -159,7 +158,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, settings: SearchSet
     """``query_id, rank, vec_id, score``: each query's k highest scores, ties to the smaller id.
 
     ``vectors`` has ``id, v, dim`` as from ``integer_vectors``; ``is_query`` is a condition on ``id``.  A vector is
-    no candidate of its own id, and vectors of different lengths never meet.
+    no candidate of its own id, and vectors of different lengths never meet.  Repeated rows of an id are a
+    candidate each; repeated rows of a query share one list of the k highest.
     Every block of queries visits every shard's tree, stripe by stripe.
     """
     s = settings

@@ -105,6 +105,19 @@ def test_top_k_keeps_ties_and_leaves_out_unusable_vectors(spark):
     assert topk.top_k(vectors.where("false"), F.col("id") == 0).count() == 0
 
 
+def test_top_k_of_repeated_ids_equals_brute_force(spark):
+    draw = np.random.default_rng(3)
+    rows = [(int(k), [float(x) for x in draw.integers(-3, 4, 3)]) for k in draw.integers(0, 60, 300)]
+    rows += rows[:20]
+    vectors = topk.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    found = topk.top_k(vectors, F.col("id") % 20 == 0, 7, topk.SearchSettings(shard_rows=40, leaf_rows=4, block_rows=3))
+    want = []
+    for query in sorted({k for k, _ in rows if k % 20 == 0}):
+        pairs = [(-int(4096 * np.dot(q, c)), key) for k, q in rows if k == query for key, c in rows if key != query]
+        want += [(query, rank, key, -down) for rank, (down, key) in enumerate(sorted(pairs)[:7], 1)]
+    assert sorted(map(tuple, found.collect())) == want
+
+
 def test_archives_make_a_round_trip(spark, folder):
     long_ = "<p>déjà\r\n\r\nWARC/1.1\r\n" + "x" * 1000
     rows = [(1, "u", long_), (2, "u\nv", long_), (3, None, long_), (4, "u", "short"), (5, "u", "short"), (6, "u", None), (7, "u", "")]
