@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import fingerprint, htmltext, jaccard, langid, mixing, packing, repeats, topk, urlrules, warc
+from cartwright.llm import (
+    fingerprint,
+    htmltext,
+    jaccard,
+    langid,
+    merkle,
+    mixing,
+    packing,
+    repair,
+    repeats,
+    simhash,
+    topk,
+    urlrules,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -83,6 +97,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents"), merkle.tampered_text())
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_top_k": op1_top_k,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -94,6 +120,9 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_fingerprints": op9_fingerprints,
     "op10_packing": op10_packing,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLE: dict[str, str] = {
@@ -166,4 +195,68 @@ ORACLE: dict[str, str] = {
         )
         SELECT doc_id, text, lang, source, n_chars, unnest(range(1, n + 1))::INTEGER AS copy FROM times
     """,
+    "op12_merkle_manifest": r"""
+        WITH RECURSIVE hashed AS (
+            SELECT doc_id, source,
+                   concat(coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-'),
+                          coalesce(octet_length(encode(source)) || ':' || source, '-'),
+                          coalesce(octet_length(encode(lang)) || ':' || lang, '-'),
+                          coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-')) AS head,
+                   text, replace(text, chr(10), '') AS bare
+            FROM documents
+        ), doubled AS (
+            SELECT doc_id, source, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+                   sha256(head || coalesce(octet_length(encode(bare)) || ':' || bare, '-')) AS cut
+            FROM hashed
+        ), bits AS (  -- crc32 of the decimal id, bit by bit
+            SELECT doc_id AS id, doc_id::VARCHAR AS t, 1 AS spot, 8 AS left_bits,
+                   xor(4294967295, ascii(substr(doc_id::VARCHAR, 1, 1)))::BIGINT AS crc
+            FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+            UNION ALL
+            SELECT id, t, CASE WHEN left_bits = 0 THEN spot + 1 ELSE spot END, CASE WHEN left_bits = 0 THEN 8 ELSE left_bits - 1 END,
+                   CASE WHEN left_bits = 0 THEN xor(crc, ascii(substr(t, spot + 1, 1))::BIGINT)
+                        WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END
+            FROM bits WHERE left_bits > 0 OR spot < length(t)
+        ), crcs AS (
+            SELECT id, xor(crc, 4294967295) AS crc FROM bits WHERE left_bits = 0 AND spot = length(t)
+        ), leaves AS (
+            SELECT doc_id, leaf, CASE WHEN crc % 2 = 0 THEN cut ELSE leaf END AS met,
+                   dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS owner,
+                   row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+                   count(*) OVER (PARTITION BY source) AS n
+            FROM doubled LEFT JOIN crcs ON doc_id = id
+        ), nodes AS (
+            SELECT owner, 0 AS level, rank, n, leaf AS digest FROM leaves
+            UNION ALL
+            SELECT owner, level + 1, rank // 3, (any_value(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY rank))
+            FROM nodes WHERE n > 1 GROUP BY owner, level, rank // 3
+        ), upper AS (
+            SELECT 0 AS level, owner AS rank, (SELECT count(DISTINCT owner) FROM leaves) AS n, digest FROM nodes WHERE n = 1
+            UNION ALL
+            SELECT level + 1, rank // 3, (any_value(n) + 2) // 3, sha256(string_agg(digest, '' ORDER BY rank))
+            FROM upper WHERE n > 1 GROUP BY level, rank // 3
+        ), every AS (
+            SELECT * FROM nodes UNION ALL SELECT -1, * FROM upper
+        ), steps AS (
+            SELECT a.owner, a.level, a.rank,
+                   coalesce(string_agg(b.digest, '' ORDER BY b.rank) FILTER (b.rank < a.rank), '') AS l,
+                   coalesce(string_agg(b.digest, '' ORDER BY b.rank) FILTER (b.rank > a.rank), '') AS r
+            FROM every a JOIN every b ON a.owner = b.owner AND a.level = b.level AND a.rank // 3 = b.rank // 3
+            WHERE a.n > 1 GROUP BY a.owner, a.level, a.rank
+        ), walk AS (
+            SELECT owner AS o, rank AS r0, owner, 0 AS level, rank, n, '' AS proof, met AS spot FROM leaves
+            UNION ALL
+            SELECT o, r0, CASE WHEN w.n = 1 THEN -1 ELSE w.owner END, CASE WHEN w.n = 1 THEN 0 ELSE w.level + 1 END,
+                   CASE WHEN w.n = 1 THEN w.owner ELSE w.rank // 3 END,
+                   CASE WHEN w.n = 1 THEN (SELECT max(n) FROM upper) ELSE (w.n + 2) // 3 END,
+                   CASE WHEN w.n = 1 THEN w.proof ELSE w.proof || s.l || s.r END,
+                   CASE WHEN w.n = 1 THEN w.spot ELSE sha256(s.l || w.spot || s.r) END
+            FROM walk w LEFT JOIN steps s ON w.n > 1 AND w.owner = s.owner AND w.level = s.level AND w.rank = s.rank
+            WHERE w.n > 1 OR w.owner >= 0
+        ), root AS (SELECT digest AS root FROM upper WHERE n = 1)
+        SELECT doc_id, leaf, t.digest AS subroot, root, sha256(proof) AS proof_sha256, w.spot AS folded_root, w.spot = root AS verified
+        FROM leaves JOIN walk w ON leaves.owner = w.o AND leaves.rank = w.r0 AND w.owner = -1 AND w.n = 1
+        JOIN (SELECT owner, digest FROM nodes WHERE n = 1) t ON leaves.owner = t.owner
+        CROSS JOIN root
+    """,
 }
