@@ -1,9 +1,9 @@
 """Keys that hold so many rows that one task should not get them all.
 
-``find_hot`` runs one aggregate over the key column, with map-side combine.  A
-key is hot by its share of the rows, so by arithmetic only a bounded number of
-keys can be.  What the operators then do with the list affects only how rows are
-spread, never the result: a list that is out of date or empty gives the same rows.
+``find_hot`` reads the key column once into a heavy-hitter sketch of bounded size; no
+row is shuffled.  A key is hot by its share of the rows, so by arithmetic only a bounded
+number of keys can be.  What the operators then do with the list affects only how rows are
+spread, never the result: a list that is out of date, approximate or empty gives the same rows.
 """
 
 from __future__ import annotations
@@ -25,19 +25,28 @@ class HotKeys:
     share: float = 1.0
 
 
+#: Keys a sketch can track at most, a limit of the built-in function.
+MOST_TRACKED = 1_000_000
+
+
 def find_hot(df: DataFrame, key: str, limits: HotKeys = HotKeys()) -> DataFrame | None:
     """The hot values of ``key`` with a number of ``pieces`` to cut each into.
 
     None when there are none, which is the usual case and leaves the plan of
-    the calling operator as it would be without this precaution.
+    the calling operator as it would be without this precaution.  A key with
+    a single row is never hot, however small the table.
+
+    The sketch tracks 16 times as many keys as can be hot: it errs by a quarter of the
+    limit at most and finds every key above the limit (up to some 60,000 tasks; with more, the hottest).
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    limit = limits.share * df.count() / tasks
-    counted = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    found = counted.where(F.col("n") > F.lit(limit)).collect()
-    if not found:
+    most = min(math.ceil(tasks / limits.share) + 1, MOST_TRACKED // 16)
+    sketch = F.expr(f"approx_top_k(`{key}`, {most}, {16 * most})")
+    n_rows, heaviest = df.agg(F.count(F.lit(1)), sketch).first()
+    limit = max(1.0, limits.share * n_rows / tasks)
+    rows = [(key_value, max(2, min(tasks, math.ceil(n / limit)))) for key_value, n in heaviest or [] if n > limit]
+    if not rows:
         return None
-    rows = [(row[0], max(2, min(tasks, math.ceil(row["n"] / limit)))) for row in found]
     schema = df.select(key).withColumn("pieces", F.lit(1)).schema
     schema[key].nullable = True
     return df.sparkSession.createDataFrame(rows, schema)
