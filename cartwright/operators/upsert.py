@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.operators.hot import right_keys, same_keys
+from cartwright.sources.keyindex import may_hold
 from cartwright.sources.publish import (
     distinct_values,
     finish_pending,
     in_partitions,
+    partition_folders,
+    publish,
     read_target,
-    replace_partitions,
-    written_copy,
+    stage,
+    value_of,
 )
 
 
@@ -66,26 +69,42 @@ def upsert(
 ) -> list:
     """Apply ``batch`` to the table at ``target``; returns the touched partitions.
 
-    Only partitions that gain or lose rows are rewritten.  Finding those that
-    lose rows reads two columns of the target; with ``stable_partitions`` the
-    caller vouches that a key never changes partition and that read is saved.
+    Only partitions that gain or lose rows are rewritten, and each row is written once: the
+    batch first, then the rows that stay in the touched partitions, beside it.  Which other partitions lose rows is
+    looked up in the key index; of those that may hold a key of the batch, two columns are
+    read.  With ``stable_partitions`` the caller vouches that a key never changes partition and even that is saved.
     """
     finish_pending(spark, target)
     current = read_target(spark, target)
-    if current is None and not assert_unique_batch:
-        return replace_partitions(spark, batch, target, partition_col)
-
-    with written_copy(spark, batch) as batch:
-        if assert_unique_batch and repeated_keys(batch, keys).take(1):
-            raise ValueError(f"the batch repeats a key {tuple(keys)}")
-        if current is None:
-            return replace_partitions(spark, batch, target, partition_col)
-        old, new = align_schemas(current, batch)
-        touched = set(distinct_values(batch, partition_col))
+    schema = batch.schema
+    if current is not None:
+        current, batch = align_schemas(current, batch)
+        schema = batch.schema
+    new = stage(spark, batch, target, partition_col)
+    if assert_unique_batch and repeated_keys(new, keys).take(1):
+        finish_pending(spark, target)  # There is no plan yet: what is staged is dropped.
+        raise ValueError(f"the batch repeats a key {tuple(keys)}")
+    touched: set = set()
+    if current is not None:
+        kind = schema[partition_col].dataType
+        existing = set(partition_folders(spark, target, partition_col))
+        gaining = set(partition_folders(spark, f"{target.rstrip('/')}/_pending/rows", partition_col))
+        touched = {value_of(folder, kind) for folder in gaining & existing}
         if not stable_partitions:
-            slim = old.select(*dict.fromkeys([*keys, partition_col]))
-            losing = _matching(slim, new, keys, null_safe, "left_semi")
-            touched |= set(distinct_values(losing, partition_col))
-        affected = old.where(in_partitions(partition_col, touched))
-        merged = _matching(affected, new, keys, null_safe, "left_anti").unionByName(new)
-        return replace_partitions(spark, merged, target, partition_col, touched)
+            maybe = may_hold(spark, target, new, keys, existing - gaining)
+            touched |= _losing(current, new, keys, null_safe, partition_col, {value_of(folder, kind) for folder in maybe})
+        if touched:
+            affected = current.where(in_partitions(partition_col, touched))
+            staying = _matching(affected, new, keys, null_safe, "left_anti")
+            stage(spark, staying, target, partition_col, mode="append")
+    return publish(spark, target, schema, partition_col, touched, keys)
+
+
+def _losing(
+    current: DataFrame, new: DataFrame, keys: Sequence[str], null_safe: bool, partition_col: str, among: set
+) -> set:
+    """The partitions ``among`` those given that hold a key of ``new``; one value for each comes to the driver."""
+    if not among:
+        return set()
+    slim = current.where(in_partitions(partition_col, among)).select(*dict.fromkeys([*keys, partition_col]))
+    return set(distinct_values(_matching(slim, new, keys, null_safe, "left_semi"), partition_col))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.session import shared_dir
-from cartwright.sources import storage
+from cartwright.sources import ledger, storage
 from cartwright.sources.parquet import balanced, read_table
 
 SKIPPED, REFRESHED, APPENDED = "skipped", "full_refresh", "appended"
@@ -28,26 +28,42 @@ def rebuild(df: DataFrame, dst: str, partition_col: str | None = None) -> None:
     storage.swap_in(df.sparkSession, building, dst)
 
 
-def full_refresh(spark: SparkSession, src: str, dst: str, partition_col: str | None = None) -> str:
-    """Rebuild ``dst`` from every source file; no source files, no change."""
+def full_refresh(
+    spark: SparkSession, src: str, dst: str, partition_col: str | None = None, watermark_col: str = "ingested_at"
+) -> str:
+    """Rebuild ``dst`` from every source file; no source files, no change.
+
+    The ledger of what was read takes the table's place together with its rows.
+    """
     if not storage.files_exist(spark, src):
         return SKIPPED
-    rebuild(read_table(spark, src), dst, partition_col)
+    read = ledger.source_files(spark, src)
+    source = read_table(spark, src)
+    building = dst.rstrip("/") + "__building"
+    _writer(source, "overwrite", partition_col).parquet(building)
+    if watermark_col in source.columns:
+        ledger.adopt(spark, dst, building, read, watermark_col)
+    storage.swap_in(spark, building, dst)
     return REFRESHED
 
 
 def replace_table(spark: SparkSession, src: str, dst: str) -> str:
     """Replace a current-state table by the next batch."""
-    return full_refresh(spark, src, dst)
+    if not storage.files_exist(spark, src):
+        return SKIPPED
+    rebuild(read_table(spark, src), dst)
+    return REFRESHED
 
 
 def watermark(spark: SparkSession, dst: str, watermark_col: str = "ingested_at") -> object | None:
-    """Newest loaded value, or None without a table, a column or a value."""
+    """Newest loaded value, or None without a table, a column or a value; from the ledger where there is one."""
     if not storage.has_parquet(spark, dst):
         return None
     target = read_table(spark, dst)
     if watermark_col not in target.columns:
         return None
+    if ledger.commits(spark, dst):
+        return ledger.newest_value(spark, dst, target.schema[watermark_col].dataType)
     return target.agg(F.max(watermark_col)).first()[0]
 
 
@@ -63,32 +79,56 @@ def incremental_load(
 
     Without a target, a watermark column or a watermark value the whole source
     is loaded.  The strict comparison loses rows that arrive with an older
-    watermark; ``lookback`` (an interval such as ``"3 days"``) re-reads that
-    much and appends the rows the target does not hold yet.
+    watermark; ``lookback`` (an interval such as ``"3 days"``) also takes rows of that
+    period that the target does not hold yet.
+
+    By the ledger only files are opened that were not read before, and, to find what the target
+    holds of the lookback period, those of its files that reach into it.
     """
     if not storage.files_exist(spark, src):
         return SKIPPED
+    ledger.finish_loading(spark, dst)
     newest = watermark(spark, dst, watermark_col)
     if newest is None:
-        return full_refresh(spark, src, dst, partition_col)
-    target, source = read_table(spark, dst), read_table(spark, src)
-    if lookback is None:
-        fresh = source.where(F.col(watermark_col) > F.lit(newest))
+        return full_refresh(spark, src, dst, partition_col, watermark_col)
+    if not ledger.commits(spark, dst):
+        ledger.adopt(spark, dst, dst, None, watermark_col)
+    entries = ledger.read_ledger(spark, dst)
+    start = None if lookback is None else F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {lookback}")
+    read = ledger.not_taken(spark, src, entries, start)
+    # The paths of new files, as many as a load brings.
+    paths = [row[0] for row in read.select("path").collect()]
+    if not paths:
+        return APPENDED
+    source = spark.read.option("basePath", _base(src)).parquet(*paths)
+    if start is None:
+        fresh, taken = source.where(F.col(watermark_col) > F.lit(newest)), F.lit(newest)
     else:
-        fresh = _missing_rows(source, target, watermark_col, newest, lookback)
-    _writer(fresh, "append", partition_col).parquet(dst)
+        fresh, taken = _missing_rows(spark, source, dst, entries, watermark_col, start), start
+    read = read.withColumns({"taken": taken.cast("string"), "inclusive": F.lit(start is not None)})
+    ledger.append(spark, dst, _writer(fresh, "overwrite", partition_col), read, watermark_col)
     return APPENDED
 
 
+def _base(src: str) -> str:
+    """The folder whose children name partitions: ``src`` up to its first wildcard."""
+    plain = []
+    for part in src.split("/"):
+        if any(c in part for c in "*?[{"):
+            break
+        plain.append(part)
+    return "/".join(plain)
+
+
 def _missing_rows(
-    source: DataFrame, target: DataFrame, watermark_col: str, newest: object, lookback: str
+    spark: SparkSession, source: DataFrame, dst: str, entries: DataFrame, watermark_col: str, start: Column
 ) -> DataFrame:
-    """Rows of the lookback period that occur more often in source than target."""
-    start = F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {lookback}")
+    """Rows since ``start`` that occur more often in source than target."""
     recent = F.col(watermark_col).try_cast("timestamp_ntz") >= start
-    columns = target.columns
-    aligned = source.where(recent).select(*columns)
-    return aligned.exceptAll(target.where(recent))
+    schema = read_table(spark, dst).schema
+    reaching = entries.where(F.coalesce(F.col("newest").try_cast("timestamp_ntz") >= start, F.lit(True)))
+    target = ledger.files_of(spark, dst, reaching, schema)
+    return source.where(recent).select(*schema.names).exceptAll(target.where(recent))
 
 
 def materialize(df: DataFrame, name: str, kind: str, schema: str | None = None) -> DataFrame:

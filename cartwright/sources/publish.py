@@ -1,26 +1,27 @@
 """Replacing some partitions of a Parquet table without risking the rest.
 
-The new rows are written in full to a pending folder first.  Only then are the
-touched partitions of the live table overwritten, reading from that folder.  A
-job lost in between is finished by the next call, which finds the complete
-pending folder and publishes it again; doing so twice gives the same table.
+Rows are written once, by partition, to a hidden folder inside the table. When they are complete, a plan is stored
+beside them, and the touched partitions are exchanged by renames. A job lost in
+between is finished by the next call, which finds the plan and goes on with the renames that are left; doing so twice gives the
+same table. The plan lies below the table, so any process that writes the table finds it.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 import json
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, DateType, StructType
 
 from cartwright.session import shared_dir
 from cartwright.sources import storage
+from cartwright.sources.keyindex import index_rows, read_index, write_index
 from cartwright.sources.parquet import balanced
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
@@ -28,9 +29,8 @@ SCHEMA_FILE = "_schema.json"
 PartitionValue = dt.date | str | None
 
 
-def _pending_root(spark: SparkSession, target: str) -> str:
-    name = hashlib.sha1(target.rstrip("/").encode()).hexdigest()[:20]
-    return f"{shared_dir(spark)}/cartwright-pending/{name}"
+def _pending_root(target: str) -> str:
+    return f"{target.rstrip('/')}/_pending"
 
 
 def _folder_value(value: PartitionValue) -> str:
@@ -39,6 +39,17 @@ def _folder_value(value: PartitionValue) -> str:
     return value.isoformat() if isinstance(value, dt.date) else value
 
 
+def partition_folders(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The partitions below ``path`` as their folders name them, without opening a file."""
+    return [name.partition("=")[2] for name in storage.folders(spark, path) if name.startswith(f"{column}=")]
+
+
+def value_of(folder: str, kind: DataType) -> PartitionValue:
+    if folder == NULL_PARTITION:
+        return None
+    return dt.date.fromisoformat(folder) if isinstance(kind, DateType) else unquote(folder)
+
+
 @contextmanager
 def written_copy(spark: SparkSession, df: DataFrame) -> Iterator[DataFrame]:
     """``df`` computed once and stored in the shared folder while in use.
@@ -79,53 +90,85 @@ def finish_pending(spark: SparkSession, target: str) -> bool:
 
     Call it before planning anything that reads ``target``.
     """
-    root = _pending_root(spark, target)
+    root, live = _pending_root(target), target.rstrip("/")
     text = storage.read_text(spark, f"{root}/plan.json")
     if text is None:
         storage.delete(spark, root)
         return False
     plan = json.loads(text)
-    column, schema = plan["column"], StructType.fromJson(plan["schema"])
-    staged = spark.read.schema(schema).parquet(f"{root}/rows")
-    (
-        balanced(staged, column)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(target)
-    )
-    storage.write_text(spark, f"{target.rstrip('/')}/{SCHEMA_FILE}", schema.json())
+    column = plan["column"]
+    for folder in plan["filled"]:
+        storage.move(spark, f"{root}/rows/{column}={folder}", f"{live}/{column}={folder}")
     for folder in plan["emptied"]:
-        storage.delete(spark, f"{target.rstrip('/')}/{column}={folder}")
+        storage.delete(spark, f"{live}/{column}={folder}")
+    storage.write_text(spark, f"{live}/{SCHEMA_FILE}", json.dumps(plan["schema"]))
+    stale = {*plan["filled"], *plan["emptied"]}
+    before = read_index(spark, target)
+    after = {name: e for name, e in before.items() if name not in stale} | plan["index"]
+    if after != before:
+        write_index(spark, target, after)
     storage.delete(spark, root)
     return True
 
 
-def replace_partitions(
+def stage(spark: SparkSession, df: DataFrame, target: str, partition_col: str, mode: str = "overwrite") -> DataFrame:
+    """Write rows to the table's pending folder; what was written, as a frame.  ``append`` adds to what is there."""
+    root = _pending_root(target)
+    if storage.path_exists(spark, f"{root}/plan.json"):
+        raise RuntimeError(f"an interrupted write of {target} is waiting: call finish_pending first")
+    if mode == "overwrite":
+        storage.delete(spark, root)
+    balanced(df, partition_col).write.mode(mode).partitionBy(partition_col).parquet(f"{root}/rows")
+    return spark.read.schema(df.schema).parquet(f"{root}/rows").select(*df.columns)
+
+
+def publish(
     spark: SparkSession,
-    df: DataFrame,
     target: str,
+    schema: StructType,
     partition_col: str,
     touched: Iterable[PartitionValue] = (),
+    keys: Sequence[str] | None = None,
 ) -> list[PartitionValue]:
-    """Make ``df`` the whole content of its own and the ``touched`` partitions.
+    """Make the staged rows the whole content of their own and the ``touched`` partitions.
 
-    ``df`` may read from ``target``.  A touched partition without rows in
-    ``df`` disappears; all others are left alone.  Returns what was replaced.
+    With ``keys`` the partitions' keys are indexed in the same commit.
     """
-    root = _pending_root(spark, target)
-    if storage.path_exists(spark, f"{root}/plan.json"):
-        raise RuntimeError(f"an interrupted write of {target} is waiting: call finish_pending first")
-    df.write.mode("overwrite").parquet(f"{root}/rows")
-    filled = set(distinct_values(spark.read.schema(df.schema).parquet(f"{root}/rows"), partition_col))
+    root = _pending_root(target)
+    kind = schema[partition_col].dataType
+    filled = partition_folders(spark, f"{root}/rows", partition_col)
+    values = {value_of(folder, kind) for folder in filled}
+    entries = {}
+    if keys is not None and filled:
+        staged = spark.read.schema(schema).parquet(f"{root}/rows")
+        names = {value_of(folder, kind): folder for folder in filled}
+        entries = index_rows(spark, target, staged, keys, partition_col, names.get)
     plan = {
         "column": partition_col,
-        "emptied": sorted(_folder_value(v) for v in set(touched) - filled),
-        "schema": df.schema.jsonValue(),
+        "filled": filled,
+        "emptied": sorted(_folder_value(v) for v in set(touched) - values),
+        "schema": schema.jsonValue(),
+        "index": entries,
     }
     storage.write_text(spark, f"{root}/plan.json", json.dumps(plan))
     finish_pending(spark, target)
-    return sorted(filled | set(touched), key=str)
+    return sorted(values | set(touched), key=str)
+
+
+def replace_partitions(
+    spark: SparkSession,
+    df: DataFrame,
+    target: str,
+    partition_col: str,
+    touched: Iterable[PartitionValue] = (),
+) -> list[PartitionValue]:
+    """Make ``df`` the whole content of its own and the ``touched`` partitions.
+
+    ``df`` may read from ``target``.  A touched partition without rows in
+    ``df`` disappears; all others are left alone.  Returns what was replaced.
+    """
+    stage(spark, df, target, partition_col)
+    return publish(spark, target, df.schema, partition_col, touched)
 
 
 def read_target(spark: SparkSession, target: str) -> DataFrame | None:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import Any
 
 from pyspark.sql import SparkSession
@@ -24,19 +25,66 @@ def files_exist(spark: SparkSession, pattern: str) -> bool:
     return found is not None and len(found) > 0
 
 
-def has_parquet(spark: SparkSession, path: str) -> bool:
-    """True when a dataset folder holds a data file at any depth.
+def is_hidden(name: str) -> bool:
+    """Names Spark's readers pass over, by the same rule."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name)
 
-    The listing is walked lazily and stops at the first hit.
-    """
+
+def _below(spark: SparkSession, path: str) -> Iterator[tuple[str, Any]]:
+    """Visible files at any depth, lazily: path relative to ``path``, and the file's own."""
     fs, location = _hadoop(spark, path)
     if not fs.exists(location):
-        return False
+        return
+    base = str(fs.makeQualified(location)).rstrip("/") + "/"
     listing = fs.listFiles(location, True)
     while listing.hasNext():
-        if listing.next().getPath().getName().endswith(".parquet"):
-            return True
-    return False
+        found = listing.next().getPath()
+        relative = str(found).removeprefix(base)
+        if not any(is_hidden(part) for part in relative.split("/")):
+            yield relative, found
+
+
+def has_parquet(spark: SparkSession, path: str) -> bool:
+    """True when a dataset folder holds a data file at any depth; stops at the first hit."""
+    return any(relative.endswith(".parquet") for relative, _ in _below(spark, path))
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below a path."""
+    fs, location = _hadoop(spark, path)
+    if not fs.exists(location):
+        return []
+    return [found.getPath().getName() for found in fs.listStatus(location) if found.isDirectory()]
+
+
+def move(spark: SparkSession, source: str, destination: str) -> None:
+    """Put a file or folder in the place of what is at ``destination``.
+
+    Can be repeated after it was cut off: it is done when the source is gone.
+    """
+    fs, old = _hadoop(spark, source)
+    _, new = _hadoop(spark, destination)
+    if not fs.exists(old):
+        return
+    if fs.exists(new):
+        fs.delete(new, True)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise OSError(f"cannot put {source} in place of {destination}")
+
+
+def move_files(spark: SparkSession, source: str, destination: str) -> None:
+    """Move the files below one folder to the same places below another; can be repeated like ``move``."""
+    fs, base = _hadoop(spark, destination)
+    made = set()
+    for relative, found in list(_below(spark, source)):
+        _, new = _hadoop(spark, f"{destination.rstrip('/')}/{relative}")
+        parent = relative.rpartition("/")[0]
+        if parent not in made:
+            fs.mkdirs(new.getParent())
+            made.add(parent)
+        if not fs.rename(found, new):
+            raise OSError(f"cannot move {found} below {base}")
 
 
 def table_exists(spark: SparkSession, name_or_path: str) -> bool:

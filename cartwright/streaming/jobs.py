@@ -16,7 +16,8 @@ from pyspark.sql.types import StructType
 from cartwright.operators.hot import right_keys, same_keys
 from cartwright.operators.upsert import upsert
 from cartwright.plans.staging import funnel_stage, timestamp_of
-from cartwright.sources.publish import finish_pending, read_target
+from cartwright.sources.keyindex import may_hold
+from cartwright.sources.publish import finish_pending, in_partitions, partition_folders, read_target, value_of, written_copy
 
 
 def read_stream(spark: SparkSession, src: str, schema: StructType) -> DataFrame:
@@ -77,7 +78,8 @@ def stream_upsert(
 
     ``prepare`` turns the micro-batch into fact rows, one per key.  A key that
     the table holds already keeps its row, as in the batch path, where the first
-    occurrence stays; without ``first_wins`` the newer row replaces it.
+    occurrence stays; without ``first_wins`` the newer row replaces it.  Only partitions
+    that may hold a key of the micro-batch by the table's key index are looked into.
     """
 
     def apply(batch: DataFrame, _epoch: int) -> None:
@@ -85,10 +87,15 @@ def stream_upsert(
         rows = batch if prepare is None else prepare(batch)
         finish_pending(session, target)
         stored = read_target(session, target) if first_wins else None
-        if stored is not None:
-            known = right_keys(stored.select(*keys), keys)
-            rows = rows.join(known, same_keys(keys), "left_anti")
-        upsert(session, target, rows, keys, partition_col, stable_partitions=stored is not None)
+        if stored is None:
+            upsert(session, target, rows, keys, partition_col)
+            return
+        with written_copy(session, rows) as rows:
+            maybe = may_hold(session, target, rows, keys, partition_folders(session, target, partition_col))
+            kind = stored.schema[partition_col].dataType
+            held = stored.where(in_partitions(partition_col, [value_of(folder, kind) for folder in maybe]))
+            fresh = rows.join(right_keys(held.select(*keys), keys), same_keys(keys), "left_anti") if maybe else rows
+            upsert(session, target, fresh, keys, partition_col, stable_partitions=True)
 
     return (
         stream.writeStream.foreachBatch(apply)

@@ -1,7 +1,9 @@
 """Upserts, interrupted writes, snapshots, loading."""
 
 import datetime as dt
+import os
 import random
+from pathlib import Path
 
 import pytest
 from conftest import plan, rows, ts
@@ -12,7 +14,7 @@ from pyspark.sql import functions as F
 from cartwright.operators.lookback import EPOCH, incremental_filter, max_timestamp
 from cartwright.operators.snapshot import read_history, scd2_merge, scd2_snapshot
 from cartwright.operators.upsert import align_schemas, upsert, upsert_frames
-from cartwright.sources import load, parquet, publish, storage
+from cartwright.sources import keyindex, ledger, load, parquet, publish, storage
 from cartwright.sources.publish import finish_pending, read_target, replace_partitions
 
 FACT = "id long, day date, v string"
@@ -115,6 +117,82 @@ def test_interrupted_publish_is_finished_by_the_next_call(spark, folder, monkeyp
     assert not finish_pending(spark, target)
 
 
+def test_a_publish_cut_off_between_renames_is_finished(spark, folder, monkeypatch):
+    target = folder("t")
+    upsert(spark, target, facts(spark, (1, MONDAY, "a"), (2, TUESDAY, "b")), ["id"], "day")
+    real, calls = storage.move, []
+
+    def once(*args):
+        calls.append(args)
+        if len(calls) > 1:
+            raise RuntimeError("driver lost")
+        real(*args)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(publish.storage, "move", once)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            upsert(spark, target, facts(spark, (1, MONDAY, "x"), (2, TUESDAY, "y")), ["id"], "day")
+    upsert(spark, target, facts(spark, (3, MONDAY, "z")), ["id"], "day")
+    assert rows(read_target(spark, target)) == [(1, MONDAY, "x"), (2, TUESDAY, "y"), (3, MONDAY, "z")]
+    assert set(keyindex.read_index(spark, target)) == {"2024-01-01", "2024-01-02"}
+    assert len(storage.folders(spark, f"{target}/_keys")) == 2
+
+
+# --- key index --------------------------------------------------------------
+
+
+def spoil(target, day):
+    """Make a partition's files unreadable, so that whoever opens one fails."""
+    for file in Path(target, f"day={day}").glob("part-*"):
+        file.write_bytes(b"no parquet")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+
+
+@pytest.mark.parametrize("id_of", [lambda day, k: 1000 * day + k, lambda day, k: 31 * k + day])
+def test_an_upsert_opens_only_partitions_that_may_hold_its_keys(spark, folder, id_of):
+    """Ids that grow with the day are told apart by their ranges, scattered ones by the filters."""
+    target = folder("t")
+    days = [dt.date(2024, 1, d) for d in range(1, 31)]
+    data = [(id_of(day.day, k), day, "a") for day in days for k in range(300)]
+    upsert(spark, target, facts(spark, *data), ["id"], "day")
+    wanted = facts(spark, *((id_of(3, k), dt.date(2024, 2, 1), "moved") for k in range(0, 100, 10)))
+    maybe = keyindex.may_hold(spark, target, wanted, ["id"], {str(d) for d in days})
+    assert "2024-01-03" in maybe and len(maybe) <= 3
+    for day in days:
+        if str(day) not in maybe:
+            spoil(target, day)
+    touched = upsert(spark, target, wanted, ["id"], "day")
+    assert touched == [dt.date(2024, 1, 3), dt.date(2024, 2, 1)]
+    both = read_target(spark, target).where(F.col("day").isin(touched))
+    assert both.where("v = 'moved'").count() == 10 and both.count() == 300
+
+
+def test_the_index_misses_no_key(spark, folder):
+    target, draw = folder("t"), random.Random(3)
+    for _ in range(3):
+        batch = {draw.randrange(400): (dt.date(2024, 1, draw.randint(1, 9)) if draw.random() > 0.1 else None) for _ in range(150)}
+        batch[None] = MONDAY
+        upsert(spark, target, facts(spark, *((k, d, "x") for k, d in batch.items())), ["id"], "day")
+        stored = read_target(spark, target)
+        existing = {r[0] for r in stored.select(F.coalesce(F.col("day").cast("string"), F.lit(publish.NULL_PARTITION))).collect()}
+        for key in [*range(0, 400, 23), None]:
+            at = stored.where(F.col("id").eqNullSafe(F.lit(key))).select(F.coalesce(F.col("day").cast("string"), F.lit(publish.NULL_PARTITION)))
+            maybe = keyindex.may_hold(spark, target, facts(spark, (key, None, None)), ["id"], existing)
+            assert {r[0] for r in at.collect()} <= maybe
+    assert stored.groupBy("id").count().where("count > 1").isEmpty()
+
+
+def test_two_column_keys_and_partitions_without_an_entry(spark, folder):
+    target = folder("t")
+    upsert(spark, target, facts(spark, (1, MONDAY, "a"), (1, TUESDAY, "b")), ["id", "v"], "day")
+    replace_partitions(spark, facts(spark, (1, TUESDAY, "b"), (2, TUESDAY, "c")), target, "day")
+    assert set(keyindex.read_index(spark, target)) == {"2024-01-01"}
+    upsert(spark, target, facts(spark, (2, MONDAY, "c"), (1, None, "a")), ["id", "v"], "day")
+    assert rows(read_target(spark, target)) == [(1, TUESDAY, "b"), (1, None, "a"), (2, MONDAY, "c")]
+    upsert(spark, target, facts(spark, (1, MONDAY, "z")), ["id"], "day")  # other keys than the index has
+    assert rows(read_target(spark, target)) == [(1, MONDAY, "z"), (2, MONDAY, "c")]
+
+
 # --- snapshots --------------------------------------------------------------
 
 CURRENT = "customer_id long, city string, segment string, updated_at string"
@@ -229,6 +307,62 @@ def test_lookback_includes_its_bound(spark):
 RAW = "id long, ingested_at string"
 
 
+LOADED = "id long, ingested_at string"
+
+
+def test_a_second_load_opens_only_new_files(spark, folder):
+    """Neither old source files nor old files of the table are read, whatever the load looks for."""
+    src, dst = folder("src"), folder("dst")
+    parquet.write_flat(spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-10")], LOADED).coalesce(1), src)
+    parquet.write_flat(spark.createDataFrame([(3, "2024-02-10")], LOADED), src, mode="append")
+    load.incremental_load(spark, src, dst)
+    first = ledger.commits(spark, dst)
+    reaching = {r[0] for r in ledger.read_ledger(spark, dst).where("newest > '2024-02'").select("path").collect()}
+    for place in (src, dst):
+        for file in Path(place).glob("part-*.parquet"):
+            if place == src or file.name not in reaching:
+                body = file.stat()
+                file.write_bytes(b"x" * body.st_size)
+                os.utime(file, ns=(body.st_atime_ns, body.st_mtime_ns))
+                file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    parquet.write_flat(spark.createDataFrame([(4, "2024-02-11"), (3, "2024-02-10"), (5, "2024-02-09"), (6, "2024-01-02")], LOADED), src, mode="append")
+    assert load.watermark(spark, dst) == "2024-02-10"
+    assert load.incremental_load(spark, src, dst, lookback="3 days") == load.APPENDED
+    assert load.watermark(spark, dst) == "2024-02-11"
+    again = ledger.loaded_after(spark, dst, first[-1], spark.read.schema(LOADED).parquet(dst).schema)
+    assert rows(again) == [(4, "2024-02-11"), (5, "2024-02-09")]
+    assert load.incremental_load(spark, src, dst) == load.APPENDED and len(ledger.commits(spark, dst)) == 2
+    assert rows(ledger.loaded_after(spark, dst, ledger.commits(spark, dst)[-1], again.schema)) == []
+
+
+def test_a_load_cut_off_between_renames_is_finished(spark, folder, monkeypatch):
+    src, dst = folder("src"), folder("dst")
+    for k in range(2):
+        parquet.write_flat(spark.createDataFrame([(k, f"2024-01-0{k + 1}")], LOADED), src, mode="append")
+        if k == 0:
+            load.incremental_load(spark, src, dst)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(ledger.storage, "move", lost)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            load.incremental_load(spark, src, dst)
+    load.incremental_load(spark, src, dst)
+    assert rows(parquet.read_table(spark, dst)) == [(0, "2024-01-01"), (1, "2024-01-02")]
+    assert len(ledger.commits(spark, dst)) == 2
+
+
+def test_a_table_without_a_ledger_gets_one(spark, folder):
+    src, dst = folder("src"), folder("dst")
+    parquet.write_flat(spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], LOADED), dst)
+    parquet.write_flat(spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03")], LOADED), src)
+    load.incremental_load(spark, src, dst, lookback="9 days")
+    assert rows(parquet.read_table(spark, dst)) == [(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03")]
+    assert load.watermark(spark, dst) == "2024-01-03"
+
+
 def test_incremental_load(spark, folder):
     src, dst = folder("src"), folder("dst")
     assert load.incremental_load(spark, src, dst) == load.SKIPPED
