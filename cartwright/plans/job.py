@@ -18,21 +18,20 @@ from pyspark.sql import functions as F
 from cartwright.functions import RfmConfig
 from cartwright.operators.lookback import (
     EPOCH,
-    is_recent,
     lookback_filter,
     lower_bound,
     max_timestamp,
 )
+from cartwright.operators.propagate import facts_in_changed_ranges
 from cartwright.operators.snapshot import read_history, scd2_snapshot
 from cartwright.operators.upsert import upsert
 from cartwright.plans import enrich, marts, reports, staging
-from cartwright.sources import storage
+from cartwright.sources import ledger, storage
 from cartwright.sources.load import (
     full_refresh,
     incremental_load,
     rebuild,
     replace_table,
-    watermark,
 )
 from cartwright.sources.publish import (
     distinct_values,
@@ -55,7 +54,6 @@ class JobConfig:
     run_ts: dt.datetime
     as_of: dt.date
     full_refresh: bool = False
-    orders_lookback_days: int = 2
     events_lookback_days: int = 3
     load_lookback_days: int = 3
     rfm: RfmConfig = field(default_factory=RfmConfig)
@@ -118,32 +116,45 @@ def refresh_orders(
     full: bool = False,
     partition_col: str = DAY,
     new_payments: DataFrame | None = None,
-    since: dt.datetime | None = None,
+    new_versions: DataFrame | None = None,
+    new_orders: DataFrame | None = None,
 ) -> list:
     """Upsert recently changed orders into the fact table; the touched partitions.
 
     The lower bound is applied to the orders before anything is joined, and
     only their customers' versions and their payments are looked at.
 
-    ``new_payments`` are those loaded since the last build: their orders are
-    computed again, however old.  ``since`` is the newest change the last
-    finished build knew; without it the table's newest one counts.
+    ``new_orders`` are the orders loaded since the last build, whenever they say they changed; without
+    them those count that changed since the table's newest change, less the lookback.
+    ``new_payments`` and ``new_versions`` (raw customers) are those loaded since the last
+    build: the orders paid by them, and the orders of the time they cover, are computed again, however old.
     """
     finish_pending(spark, target)
-    newest = EPOCH if full else since or max_timestamp(read_target(spark, target), "updated_at")
+    stored = None if full else read_target(spark, target)
 
     def apply(some: DataFrame, their_customers: DataFrame, their_payments: DataFrame) -> list:
         customers = staging.stg_customers(their_customers)
         enriched = enrich.orders_enriched(some, customers, their_payments, one_version=True)
         return upsert(spark, target, marts.fct_orders(enriched, run_ts), ["order_id"], partition_col)
 
-    if newest == EPOCH:
+    if stored is None:
         return apply(orders, raw_customers, payments)
-    changed = is_recent("updated_at", newest, lookback_days)
-    recent = orders.where(changed)
+    recent, again = new_orders, []
+    if recent is None:
+        newest = max_timestamp(stored, "updated_at")
+        if newest == EPOCH:
+            return apply(orders, raw_customers, payments)
+        recent = lookback_filter(orders, "updated_at", newest, lookback_days)
     if new_payments is not None:
-        unchanged = orders.where(~F.coalesce(changed, F.lit(False)))
-        recent = recent.unionByName(_of(unchanged, new_payments))
+        again.append(_of(orders, new_payments))
+    if new_versions is not None:
+        dated, late = (df.withColumn("_from", staging.timestamp_of("valid_from")) for df in (raw_customers, new_versions))
+        again.append(facts_in_changed_ranges(orders, dated, late, "customer_id", "order_ts", "_from", day="order_date"))
+    # An order with several reasons is taken once, by the first.
+    taken = recent.select("order_id")
+    for some in again:
+        recent = recent.unionByName(some.join(taken, "order_id", "left_anti").select(*recent.columns))
+        taken = taken.unionByName(some.select("order_id"))
     with written_copy(spark, recent) as some:
         return apply(some, _of(raw_customers, some, "customer_id"), _of(payments, some))
 
@@ -230,19 +241,15 @@ def _build_mark(config: JobConfig) -> str:
     return config.mart("_built.json")
 
 
-def _loaded_since(df: DataFrame, mark: str | None, days: int) -> DataFrame:
-    """Rows that may have been loaded after ``mark``; late loads reach back ``days``."""
-    if mark is None:
-        return df
-    start = F.lit(mark).try_cast("timestamp_ntz") - F.expr(f"INTERVAL {days} DAYS")
-    return df.where(F.coalesce(F.col("ingested_at").try_cast("timestamp_ntz") >= start, F.lit(True)))
+#: Raw tables whose late rows change facts of any age.
+MARKED = ("fact_orders", "fact_payments", "raw_returns", "dim_customers")
 
 
 def build(spark: SparkSession, config: JobConfig) -> None:
     """Facts, dimension, revenue, RFM and funnel from the loaded raw tables.
 
-    What a finished build has seen is noted beside the marts at its end.  The
-    next one starts from that note, not from the tables, so a run that dies
+    Which load of each raw table a finished build has seen is noted beside the marts at its end.  The
+    next one takes what was loaded after that, by the tables' ledgers, so a run that dies
     anywhere in between is made up for by the next.  Without a note all is new.
     """
     orders = staging.stg_orders(raw_table(spark, config, "fact_orders"))
@@ -251,18 +258,16 @@ def build(spark: SparkSession, config: JobConfig) -> None:
     events = raw_table(spark, config, "fact_events")
     returns = staging.stg_returns(raw_table(spark, config, "raw_returns"))
 
-    note = None if config.full_refresh else storage.read_text(spark, _build_mark(config))
-    seen = {
-        "orders": max_timestamp(orders, "updated_at").isoformat(),
-        "payments": watermark(spark, config.raw("fact_payments")),
-        "returns": watermark(spark, config.raw("raw_returns")),
-    }
-    new_payments = new_returns = since = None
-    if note is not None:
-        before, days = json.loads(note), config.load_lookback_days
-        since = dt.datetime.fromisoformat(before["orders"])
-        new_payments = _loaded_since(payments, before["payments"], days)
-        new_returns = _loaded_since(returns, before["returns"], days)
+    text = None if config.full_refresh else storage.read_text(spark, _build_mark(config))
+    built = {} if text is None else json.loads(text).get("built", {})
+    first = not built
+    seen = {name: (ledger.commits(spark, config.raw(name)) or [None])[-1] for name in MARKED}
+    new = {}
+    if not first:
+        new = {
+            name: ledger.loaded_after(spark, config.raw(name), built.get(name), raw_table(spark, config, name).schema)
+            for name in MARKED
+        }
 
     touched = refresh_orders(
         spark,
@@ -271,10 +276,10 @@ def build(spark: SparkSession, config: JobConfig) -> None:
         raw_customers,
         payments,
         config.run_ts,
-        lookback_days=config.orders_lookback_days,
-        full=note is None,
-        new_payments=new_payments,
-        since=since,
+        full=first,
+        new_orders=None if first else staging.stg_orders(new["fact_orders"]),
+        new_payments=new.get("fact_payments"),
+        new_versions=new.get("dim_customers"),
     )
     refresh_events(
         spark,
@@ -287,8 +292,8 @@ def build(spark: SparkSession, config: JobConfig) -> None:
     facts = read_target(spark, config.mart("fct_orders"))
     stored_events = read_target(spark, config.mart("fct_events"))
     days = None
-    if new_returns is not None:
-        days = set(touched) | set(days_of_returns(facts, new_returns))
+    if not first:
+        days = set(touched) | set(days_of_returns(facts, new["raw_returns"]))
 
     tables = {
         "dim_customers_scd": marts.dim_customers_scd(
@@ -312,7 +317,7 @@ def build(spark: SparkSession, config: JobConfig) -> None:
         )
         for one in running:
             one.result()
-    storage.write_text(spark, _build_mark(config), json.dumps(seen))
+    storage.write_text(spark, _build_mark(config), json.dumps({"built": seen}))
 
 
 def audit(spark: SparkSession, config: JobConfig) -> DataFrame:
