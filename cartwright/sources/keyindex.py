@@ -1,6 +1,6 @@
 """What keys the partitions of a table may hold, kept beside the table.
 
-Each partition has the range of its keys and a Bloom filter with 8 to 16 bits per key. Ranges are in one small file with
+Each partition has the range of its keys and a Bloom filter with 16 to 32 bits per key. Ranges are in one small file with
 one entry per partition; filters are Parquet rows of 64 bits, one folder per commit. An entry
 is replaced together with its partition (see ``publish``), and one that is missing means that anything may be there, so the index narrows a
 search and never changes its result.
@@ -21,8 +21,9 @@ from cartwright.sources import storage
 INDEX_FILE = "_index.json"
 FILTERS = "_keys"
 HASHES = 4
-#: Up to so many keys are looked up in filters; more of them would be found everywhere by chance, and only ranges count.
-MOST_PROBED = 100_000
+#: A filter takes a foreign key for its own in 1 of 400 cases at most. So more keys than these would be found
+#: everywhere by chance; then only ranges count, and the caller reads the keys of what they leave.
+MOST_PROBED = 200
 
 
 def read_index(spark: SparkSession, target: str) -> dict[str, dict]:
@@ -70,7 +71,7 @@ def index_rows(
     )
     commit, entries, sizes = uuid.uuid4().hex, {}, []
     for value, n, low, high, nulls in by_partition.collect():
-        bits = 1 << max(10, (8 * n - 1).bit_length())
+        bits = 1 << max(10, (16 * n - 1).bit_length())
         entries[folder_of(value)] = {"lo": low, "hi": high, "nulls": nulls > 0, "bits": bits, "commit": commit, "keys": list(keys)}
         sizes.append((value, folder_of(value), bits))
     if not sizes:
