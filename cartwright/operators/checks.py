@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -137,6 +137,25 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check], fail_fast: bo
     return summary
 
 
+def observed(df: DataFrame, table: str, checks: Sequence[Check]) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``df`` with its row conditions counted by whatever action reads it as a whole, such as its write, and a function that
+    gives ``summarize_checks`` afterwards.
+
+    No scan is added. Only row conditions can be counted in passing, so uniqueness checks are refused.
+    """
+    if any(c.kind == "unique" for c in checks):
+        raise ValueError("a uniqueness check needs a grouping of its own: use summarize_checks")
+    counter = Observation(f"{table} checks")
+    counts = [F.count_if(c.violation()).alias(f"n{k}") for k, c in enumerate(checks)]
+
+    def summary() -> DataFrame:
+        found = counter.get
+        rows = [(table, c.kind, c.column, found[f"n{k}"]) for k, c in enumerate(checks)]
+        return df.sparkSession.createDataFrame(rows, "table_name string, check_name string, column_name string, n_failed long")
+
+    return df.observe(counter, *counts), summary
+
+
 def assert_row_count(df: DataFrame, name: str, minimum: int) -> DataFrame:
     """One row telling whether the frame has at least ``minimum`` rows."""
     enough = F.when(F.col("actual_rows") >= minimum, "PASS").otherwise("FAIL")

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.operators.upsert import align_schemas, repeated_keys
-from cartwright.sources.publish import finish_pending, read_target, replace_partitions
+from cartwright.sources.publish import finish_pending, partition_folders, publish, read_target, stage
 
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = (
     "dbt_scd_id",
@@ -89,9 +88,9 @@ def scd2_snapshot(
     """Bring the history table at ``history`` up to date and return it.
 
     A source that repeats a key is refused: each copy would open a version.
-    Open versions live in one slice, the versions each run closes in a slice
-    of their own: a run reads and rewrites the open slice only, and closed
-    history is never touched again.
+    Open versions live in one slice, closed ones in one for each month in which
+    they ended, so the number of folders follows the calendar and not the number of runs. A run reads and
+    rewrites the open slice and the months in which it closes something, as a rule the latest.
     """
     if assert_unique_source and repeated_keys(source, [key]).take(1):
         raise ValueError(f"the source repeats {key}")
@@ -101,7 +100,14 @@ def scd2_snapshot(
     merged = scd2_merge(
         current, source, key, updated_at, now=now, invalidate_hard_deletes=invalidate_hard_deletes
     )
-    closed_slice = f"closed_{now:%Y%m%d%H%M%S}_{uuid.uuid4().hex[:8]}"
-    sliced = merged.withColumn(SLICE, F.when(F.col(VALID_TO).isNull(), OPEN_SLICE).otherwise(closed_slice))
-    replace_partitions(spark, sliced, history, SLICE, [OPEN_SLICE, closed_slice])
+    month = F.concat(F.lit("closed_"), F.date_format(VALID_TO, "yyyyMM"))
+    sliced = merged.withColumn(SLICE, F.when(F.col(VALID_TO).isNull(), OPEN_SLICE).otherwise(month))
+    stage(spark, sliced, history, SLICE)
+    closing = set(partition_folders(spark, f"{history.rstrip('/')}/_pending/rows", SLICE)) - {OPEN_SLICE}
+    before = set() if stored is None else closing & set(partition_folders(spark, history, SLICE))
+    if before:
+        earlier = stored.where(F.col(SLICE).isin(*before))
+        _, aligned = align_schemas(sliced, earlier)
+        stage(spark, aligned, history, SLICE, mode="append")
+    publish(spark, history, sliced.schema, SLICE, [OPEN_SLICE])
     return read_history(spark, history)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
@@ -211,32 +211,78 @@ def refresh_revenue(
     full one.  The table is small next to the facts and stored by month: the
     other days of a touched month are copied, not recomputed.
     """
+
+    def of_days(days: set | None) -> DataFrame:
+        if days is None:
+            return marts.revenue_daily(orders, returns, run_ts)
+        affected = orders.where(in_partitions(DAY, days))
+        return marts.revenue_daily(affected, _of(returns, affected), run_ts)
+
+    _replace_days(spark, target, of_days, "date_day", affected_days)
+
+
+def refresh_funnel(
+    spark: SparkSession, target: str, events: DataFrame, run_ts: dt.datetime, affected_days: Iterable | None = None
+) -> None:
+    """Recompute the funnel of whole event days, like ``refresh_revenue``; sessions and users are distinct within a day,
+    so no other day is read."""
+
+    def of_days(days: set | None) -> DataFrame:
+        some = events if days is None else events.where(in_partitions("event_date", days))
+        return marts.funnel_conversion(some, run_ts)
+
+    _replace_days(spark, target, of_days, "event_date", affected_days)
+
+
+def _replace_days(
+    spark: SparkSession, target: str, of_days: Callable[[set | None], DataFrame], day: str, affected_days: Iterable | None
+) -> None:
+    """Put ``of_days`` of the affected days in their place in a table by month; None means all days."""
     finish_pending(spark, target)
     stored = read_target(spark, target)
-    if affected_days is None or stored is None:
-        revenue = _by_month(marts.revenue_daily(orders, returns, run_ts))
-        months = set() if stored is None else set(distinct_values(stored, MONTH))
+    if affected_days is None or stored is None or MONTH not in stored.columns:
+        fresh = _by_month(of_days(None), day)
+        months = set() if stored is None or MONTH not in stored.columns else set(distinct_values(stored, MONTH))
+        if stored is not None and MONTH not in stored.columns:
+            storage.delete(spark, target)  # A table from before it was kept by month.
     else:
         days = set(affected_days)
         if not days:
             return
-        months = {None if day is None else day.replace(day=1) for day in days}
-        affected = orders.where(in_partitions(DAY, days))
-        fresh = marts.revenue_daily(affected, _of(returns, affected), run_ts)
-        recomputed = F.coalesce(in_partitions("date_day", days), F.lit(False))
+        months = {None if one is None else one.replace(day=1) for one in days}
+        recomputed = F.coalesce(in_partitions(day, days), F.lit(False))
         copied = stored.where(in_partitions(MONTH, months)).where(~recomputed)
-        revenue = copied.unionByName(_by_month(fresh))
-    replace_partitions(spark, revenue, target, MONTH, months)
+        fresh = copied.unionByName(_by_month(of_days(days), day))
+    replace_partitions(spark, fresh, target, MONTH, months)
+
+
+def refresh_customer_months(spark: SparkSession, target: str, orders: DataFrame, affected_days: Iterable | None = None) -> None:
+    """Recompute what customers did in whole months; only those months' orders are read."""
+    finish_pending(spark, target)
+    stored = read_target(spark, target)
+    if affected_days is None or stored is None:
+        months = set() if stored is None else set(distinct_values(stored, MONTH))
+    else:
+        months = {None if one is None else one.replace(day=1) for one in affected_days}
+        if not months:
+            return
+        orders = orders.where(in_partitions(f"trunc({DAY}, 'month')", months))
+    dated = orders.withColumn(MONTH, F.trunc(DAY, "month"))
+    replace_partitions(spark, marts.customer_months(dated, MONTH), target, MONTH, months)
 
 
-def _by_month(df: DataFrame) -> DataFrame:
-    return df.withColumn(MONTH, F.trunc("date_day", "month"))
+def _by_month(df: DataFrame, day: str) -> DataFrame:
+    return df.withColumn(MONTH, F.trunc(day, "month"))
 
 
-def read_revenue(spark: SparkSession, target: str) -> DataFrame:
+def read_daily(spark: SparkSession, target: str) -> DataFrame:
+    """A mart of days that is stored by month."""
     return read_target(spark, target).drop(MONTH)
 
 
+read_revenue = read_daily
+
+
 def _build_mark(config: JobConfig) -> str:
     return config.mart("_built.json")
 
@@ -281,7 +327,7 @@ def build(spark: SparkSession, config: JobConfig) -> None:
         new_payments=new.get("fact_payments"),
         new_versions=new.get("dim_customers"),
     )
-    refresh_events(
+    touched_events = refresh_events(
         spark,
         config.mart("fct_events"),
         events,
@@ -295,28 +341,21 @@ def build(spark: SparkSession, config: JobConfig) -> None:
     if not first:
         days = set(touched) | set(days_of_returns(facts, new["raw_returns"]))
 
-    tables = {
-        "dim_customers_scd": marts.dim_customers_scd(
-            staging.stg_customers(raw_customers), config.as_of
-        ),
-        "fct_customer_rfm": marts.customer_rfm(facts, config.as_of, config.rfm),
-        "fct_funnel_conversion": marts.funnel_conversion(stored_events, config.run_ts),
-    }
-    with ThreadPoolExecutor(max_workers=len(tables) + 1) as pool:
-        running = [pool.submit(rebuild, df, config.mart(name)) for name, df in tables.items()]
-        running.append(
-            pool.submit(
-                refresh_revenue,
-                spark,
-                config.mart("fct_revenue_daily"),
-                facts,
-                returns,
-                config.run_ts,
-                days,
-            )
-        )
-        for one in running:
-            one.result()
+    order_days = None if first else touched
+    refresh_customer_months(spark, config.mart("customer_months"), facts, order_days)
+    customers = read_target(spark, config.mart("customer_months"))
+    dimension = marts.dim_customers_scd(staging.stg_customers(raw_customers), config.as_of)
+    scores = marts.rfm_of_months(customers, config.as_of, config.rfm)
+    funnel_days = None if first else touched_events
+    steps = [
+        lambda: rebuild(dimension, config.mart("dim_customers_scd")),
+        lambda: rebuild(scores, config.mart("fct_customer_rfm")),
+        lambda: refresh_funnel(spark, config.mart("fct_funnel_conversion"), stored_events, config.run_ts, funnel_days),
+        lambda: refresh_revenue(spark, config.mart("fct_revenue_daily"), facts, returns, config.run_ts, days),
+    ]
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        for running in [pool.submit(step) for step in steps]:
+            running.result()
     storage.write_text(spark, _build_mark(config), json.dumps({"built": seen}))
 
 

@@ -199,6 +199,44 @@ def return_rate(
     )
 
 
+def product_return_rate(items: DataFrame, returns: DataFrame, products: DataFrame) -> DataFrame:
+    """Each sold product: its orders, how many came back, why, and what was refunded; one row per reason.
+
+    A return names its order only, so every product of the order counts as returned, and the order's
+    refund is shared equally between its products. Products without returns have one row with a NULL
+    reason; a return without a reason has ``(none)``. Items and returns are reduced to an order's products
+    and reasons before they meet.
+    """
+    sold = items.where(F.col("product_id").isNotNull()).select("order_id", F.col("product_id").cast("long").alias("product_id")).distinct()
+    sizes = sold.groupBy("order_id").agg(_count().alias("n_products"))
+    reasons = returns.groupBy("order_id", F.coalesce("reason_clean", F.lit("(none)")).alias("reason")).agg(
+        F.sum("refund_amount_idr").alias("refund")
+    )
+    shares = reasons.join(sizes, "order_id").select("order_id", "reason", (F.col("refund") / F.col("n_products")).alias("share"))
+    back = sold.join(shares, "order_id").groupBy("product_id", "reason").agg(
+        _count().alias("n_returned"), F.sum("share").alias("refund")
+    )
+    came_back = returns.select("order_id").distinct().withColumn("back", F.lit(True))
+    totals = sold.join(came_back, "order_id", "left").groupBy("product_id").agg(
+        _count().alias("n_orders"), F.count("back").alias("n_returned_orders")
+    )
+    names = products.groupBy(F.col("product_id").cast("long").alias("product_id")).agg(F.max("category").alias("category"))
+    return (
+        totals.join(names, "product_id", "left")
+        .join(back, "product_id", "left")
+        .select(
+            "product_id",
+            "category",
+            "n_orders",
+            "n_returned_orders",
+            F.round(F.col("n_returned_orders") / F.col("n_orders"), 4).alias("return_rate"),
+            "reason",
+            F.coalesce("n_returned", F.lit(0).cast("long")).alias("n_returned"),
+            F.round(F.coalesce("refund", F.lit(0.0)), 2).alias("refund_share_idr"),
+        )
+    )
+
+
 def gmv_by_period(orders: DataFrame, periods: tuple[str, ...] = ("day", "week", "month")) -> DataFrame:
     """Gross amounts per period, channel and city; all periods in one pass."""
     starts = {

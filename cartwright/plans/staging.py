@@ -27,7 +27,7 @@ from cartwright.functions import (
 from cartwright.functions.bands import labelled
 from cartwright.operators.dedup import dedup_first
 from cartwright.operators.hot import HotKeys, find_hot
-from cartwright.operators.jsonflat import flatten_json
+from cartwright.operators.jsonflat import flatten_json, flatten_open_json
 from cartwright.operators.lookup import lookup_join
 from cartwright.operators.neighbours import with_neighbour
 
@@ -277,3 +277,10 @@ def inventory_flatten(raw_inventory: DataFrame) -> DataFrame:
     return flatten_json(raw_inventory, "metadata", INVENTORY_METADATA).withColumn(
         "snapshot_date", date_of("snapshot_date")
     )
+
+
+def inventory_open(raw_inventory: DataFrame) -> DataFrame:
+    """``inventory_flatten`` with the feed's unknown fields and its broken texts kept."""
+    return flatten_open_json(raw_inventory, "metadata", INVENTORY_METADATA).withColumn(
+        "snapshot_date", date_of("snapshot_date")
+    )

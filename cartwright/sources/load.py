@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.session import shared_dir
 from cartwright.sources import ledger, storage
 from cartwright.sources.parquet import balanced, read_table
 
@@ -131,8 +130,11 @@ def _missing_rows(
     return source.where(recent).select(*schema.names).exceptAll(target.where(recent))
 
 
-def materialize(df: DataFrame, name: str, kind: str, schema: str | None = None) -> DataFrame:
-    """Expose a model as an inlined plan, a temp view or a stored table."""
+def materialize(df: DataFrame, name: str, kind: str, schema: str | None = None, folder: str | None = None) -> DataFrame:
+    """Expose a model as an inlined plan, a temp view or a stored table.
+
+    Tables are stored below ``folder``, by default in the session's warehouse.
+    """
     spark = df.sparkSession
     if kind == "inline":
         return df
@@ -144,6 +146,8 @@ def materialize(df: DataFrame, name: str, kind: str, schema: str | None = None)
     if schema:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema}")
         name = f"{schema}.{name}"
-    path = f"{shared_dir(spark)}/tables/{name.replace('.', '/')}"
-    df.write.mode("overwrite").option("path", path).saveAsTable(name)
+    writer = df.write.mode("overwrite")
+    if folder is not None:
+        writer = writer.option("path", f"{folder.rstrip('/')}/{name.replace('.', '/')}")
+    writer.saveAsTable(name)
     return spark.table(name)

@@ -1,6 +1,7 @@
 """The whole job over files in landing layout: first run, incremental run."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from conftest import SMALL, rows, ts
@@ -10,7 +11,7 @@ from cartwright.plans import enrich, job, marts, reports, staging
 from cartwright.plans.contracts import FCT_EVENTS, FCT_ORDERS
 from cartwright.plans.declared_checks import SOURCE_CHECKS, STAGING_CHECKS
 from cartwright.sources import SOURCES, parquet
-from cartwright.sources.publish import read_target
+from cartwright.sources.publish import read_target, replace_partitions
 from workbench.bindings import raw
 
 DATED = {
@@ -113,7 +114,13 @@ def test_marts_equal_a_full_computation(spark, finished):
     full = marts.revenue_daily(facts, returns, config.run_ts)
     assert rows(job.read_revenue(spark, config.mart("fct_revenue_daily")).select(*columns)) == rows(full.select(*columns))
 
+    scores = read_target(spark, config.mart("fct_customer_rfm")).withColumn("total_spent", F.round("total_spent", 2))
+    assert rows(scores) == rows(marts.customer_rfm(facts, config.as_of).withColumn("total_spent", F.round("total_spent", 2)))
+
     events = read_target(spark, config.mart("fct_events"))
+    funnel = marts.funnel_conversion(events, config.run_ts)
+    kept = [c for c in funnel.columns if c != "dbt_loaded_at"]
+    assert rows(job.read_daily(spark, config.mart("fct_funnel_conversion")).select(*kept)) == rows(funnel.select(*kept))
     assert events.columns == FCT_EVENTS.names
     assert rows(reports.duplicate_keys(events, "event_id")) == []
     assert events.count() == raw(spark, SMALL, "raw_events").select("event_id").distinct().count()
@@ -213,6 +220,40 @@ def test_declared_checks_are_complete():
     }
 
 
+def spoil(target, keep):
+    """Make the files of all partitions but some unreadable."""
+    for file in Path(target).glob("*/part-*"):
+        if not any(k in str(file) for k in keep):
+            file.write_bytes(b"no parquet")
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+
+
+def test_incremental_scores_and_funnel_read_only_what_was_touched(spark, folder):
+    facts, months, funnel, events = folder("facts"), folder("months"), folder("funnel"), folder("events")
+    days = [dt.date(2024, m, d) for m in (1, 2, 3) for d in (1, 2)]
+    sold = [(k, k % 3, "completed" if k % 5 else "cancelled", float(k), day, day) for k, day in enumerate(days * 4)]
+    schema = "order_id long, customer_id long, order_status string, net_amount double, order_date date, order_date_day date"
+    seen = [(f"e{k}", f"s{k % 4}", float(k % 2), "page_view", ts(f"{day} 10:00:00"), day, "web", "mobile") for k, day in enumerate(days * 4)]
+    kind = "event_id string, session_id string, customer_id double, event_type string, event_ts timestamp_ntz, event_date date, channel string, device string"
+    first, late = spark.createDataFrame(sold[:20], schema), spark.createDataFrame(sold, schema)
+    for data in (first, late):
+        replace_partitions(spark, data, facts, "order_date_day")
+        replace_partitions(spark, spark.createDataFrame(seen[: data.count()], kind), events, "event_date")
+        if data is first:
+            job.refresh_customer_months(spark, months, read_target(spark, facts))
+            job.refresh_funnel(spark, funnel, read_target(spark, events), ts("2024-05-01"))
+    changed = {row[4] for row in sold[20:]}
+    assert changed == {days[2], days[3], days[4], days[5]}
+    spoil(facts, keep=("2024-02", "2024-03"))
+    spoil(events, keep=("2024-02", "2024-03"))
+    job.refresh_customer_months(spark, months, read_target(spark, facts), changed)
+    job.refresh_funnel(spark, funnel, read_target(spark, events), ts("2024-05-01"), changed)
+    as_of = dt.date(2024, 6, 1)
+    assert rows(marts.rfm_of_months(read_target(spark, months), as_of)) == rows(marts.customer_rfm(late, as_of))
+    whole = marts.funnel_conversion(spark.createDataFrame(seen, kind), ts("2024-05-01"))
+    assert rows(job.read_daily(spark, funnel)) == rows(whole)
+
+
 EVENTS = (
     "event_id string, session_id string, customer_id double, product_id double, event_type string,"
     " event_ts string, channel string, device string, ingested_at string, batch_id string"

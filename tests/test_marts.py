@@ -284,3 +284,42 @@ def test_price_at_order_is_half_open(spark):
     for limits in (EAGER, NEVER):
         got = reports.price_at_order(items, orders, products, limits).collect()
         assert [r.price_at_time_of_order for r in got] == [2.0]
+
+
+def test_product_return_rate_keeps_products_without_returns(spark):
+    items = spark.createDataFrame([(1, 10), (1, 10), (1, 11), (2, 10), (3, 12), (4, None)], "order_id long, product_id long")
+    products = spark.createDataFrame([(10, "tea"), (11, "tea")], "product_id long, category string")
+    back = spark.createDataFrame([(1, "Rusak", 8.0), (1, None, 2.0), (1, "Rusak", 1.0), (9, "Rusak", 5.0)], "order_id long, reason_clean string, refund_amount_idr double")
+    assert rows(reports.product_return_rate(items, back, products)) == [
+        (10, "tea", 2, 1, 0.5, "(none)", 1, 1.0),
+        (10, "tea", 2, 1, 0.5, "Rusak", 1, 4.5),
+        (11, "tea", 1, 1, 1.0, "(none)", 1, 1.0),
+        (11, "tea", 1, 1, 1.0, "Rusak", 1, 4.5),
+        (12, None, 1, 0, 0.0, None, 0, 0.0),
+    ]
+
+
+def test_revenue_of_orders_with_several_rows_and_customers(spark):
+    """Distinct orders and customers are counted once, whatever rows they come in."""
+    day = dt.date(2024, 1, 1)
+    data = [(1, 7, "s", 10.0), (1, 7, "s", 10.0), (1, 8, "s", 5.0), (2, 7, "s", None), (3, None, "s", 1.0), (4, 9, None, 2.0)]
+    orders = spark.createDataFrame(
+        [(i, c, day, "web", "X", g, n, 0.0, n, True, True) for i, c, g, n in data] + [(5, 3, day, "web", "X", "s", 99.0, 0.0, 99.0, False, True)],
+        "order_id long, customer_id long, order_date_day date, channel string, shipping_city string, customer_segment string,"
+        " gross_amount double, discount_total double, net_amount double, is_completed boolean, is_split_payment boolean",
+    )
+    returns = spark.createDataFrame([(5, 3.0)], "order_id long, refund_amount_idr double")
+    found = marts.revenue_daily(orders, returns, dt.datetime(2024, 2, 1))
+    columns = ["customer_segment", "n_orders", "n_unique_customers", "net_revenue", "avg_order_value", "n_split_payment_orders", "total_refunds_idr", "n_returns"]
+    assert rows(found.select(*columns)) == [(None, 1, 1, 2.0, 2.0, 1, 0.0, 0), ("s", 3, 2, 26.0, 6.5, 5, 3.0, 1)]
+
+
+def test_customer_sketches_of_days_add_up(spark):
+    """Sketches of days with common customers give the customers of the month, within five times the stated error."""
+    orders = spark.range(60_000).selectExpr(
+        "id % 20011 AS customer_id", "cast(date_add(DATE '2024-01-01', cast(id % 29 AS INT)) AS DATE) AS order_date_day", "'web' AS channel", "true AS is_completed"
+    )
+    sketches = marts.customer_sketches(orders)
+    assert sketches.count() == 29
+    months = {r.period_start: r.n_customers for r in marts.customers_by_period(sketches, ("month",)).collect()}
+    assert months.keys() == {dt.date(2024, 1, 1)} and abs(months[dt.date(2024, 1, 1)] / 20011 - 1) < 5 * 1.04 / 64

@@ -1,11 +1,14 @@
 import datetime as dt
 
+import pytest
 from conftest import EAGER, NEVER, plan, rows, ts
 from pyspark.sql import functions as F
 
+from cartwright.operators import checks
 from cartwright.operators.checks import check_parsable
 from cartwright.operators.dedup import dedup_first
 from cartwright.plans import staging
+from cartwright.sources import parquet
 
 RAW_ORDERS = (
     "order_id long, customer_id long, store_id long, order_date string, status string, gross_amount double,"
@@ -227,3 +230,34 @@ def test_flagging_keeps_every_row(spark):
         counts = dict(rows(staging.stg_order_items(items, orders, limits).groupBy("is_orphan_record").count()))
         expected = sum(1 for i in range(500) if i % 3 and i % 40 >= 20)
         assert counts == {True: expected, False: 500 - expected}
+
+
+def test_inventory_with_unknown_fields_and_broken_text(spark):
+    feed = spark.createDataFrame(
+        [
+            ("2024-01-07", 1, '{"last_restock":"2023-10-01","storage_zone":"A","temp_sensitive":true}'),
+            ("2024-01-07", 2, '{"storage_zone":"B","grade":"x","size":{"w":1}}'),
+            ("2024-01-07", 3, '{"storage_zone":'),
+            ("2024-01-07", 4, "[1]"),
+            ("2024-01-07", 5, None),
+            ("2024-01-07", 6, ""),
+            ("2024-01-07", 7, "{}"),
+        ],
+        "snapshot_date string, product_id long, metadata string",
+    )
+    found = {r.product_id: r for r in staging.inventory_open(feed).collect()}
+    assert [r.storage_zone for _, r in sorted(found.items())] == ["A", "B", None, None, None, None, None]
+    assert found[2].other_fields == {"grade": "x", "size": '{"w":1}'} and found[1].other_fields is None and found[7].other_fields is None
+    assert {k: r.rejected_text for k, r in found.items() if r.rejected_text is not None} == {3: '{"storage_zone":', 4: "[1]", 6: ""}
+    whole = feed.where("product_id = 1")
+    assert staging.inventory_open(whole).drop("other_fields", "rejected_text").collect() == staging.inventory_flatten(whole).collect()
+
+
+def test_observed_checks_equal_a_summary_and_add_no_job(spark, folder):
+    data = spark.createDataFrame([(1, "a", None), (2, "z", 5), (None, None, 11)], "id long, kind string, n long")
+    rules = [checks.not_null("id"), checks.accepted("kind", "a", "b"), checks.between("n", 1, 10)]
+    counted, summary = checks.observed(data, "t", rules)
+    parquet.write_flat(counted, folder("t"))
+    assert rows(summary()) == rows(checks.summarize_checks(data, "t", rules)) and rows(parquet.read_table(spark, folder("t"))) == rows(data)
+    with pytest.raises(ValueError, match="uniqueness"):
+        checks.observed(data, "t", [checks.unique("id")])

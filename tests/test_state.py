@@ -138,6 +138,19 @@ def test_a_publish_cut_off_between_renames_is_finished(spark, folder, monkeypatc
     assert len(storage.folders(spark, f"{target}/_keys")) == 2
 
 
+def test_history_folders_follow_the_calendar(spark, folder):
+    target = folder("h")
+    for run in range(8):
+        now = dt.datetime(2024, 1, 25) + dt.timedelta(days=2 * run)
+        source = facts(spark, *((k, f"city {run}", "s", str(now - dt.timedelta(hours=1))) for k in range(3)), schema="customer_id long, city string, segment string, updated_at string")
+        found = scd2_snapshot(spark, target, source, "customer_id", now=now)
+        assert found.count() == 3 * (run + 1)
+    assert sorted(storage.folders(spark, target)) == ["history_slice=closed_202401", "history_slice=closed_202402", "history_slice=open"]
+    assert found.where("dbt_valid_to IS NULL").count() == 3
+    # A run that is repeated with the same source closes nothing and writes no version twice.
+    assert scd2_snapshot(spark, target, source, "customer_id", now=now).count() == 24
+
+
 # --- key index --------------------------------------------------------------
 
 
@@ -407,13 +420,13 @@ def test_partitioned_layout_prunes(spark, folder):
         parquet.read_partitioned(spark, base, "id")
 
 
-def test_materialize(spark):
+def test_materialize(spark, folder):
     df = spark.range(3)
     assert load.materialize(df, "m", "inline") is df
     assert load.materialize(df, "m_view", "view").count() == 3
     assert spark.catalog.tableExists("m_view")
     for _ in range(2):
-        assert load.materialize(df, "m_table", "table").count() == 3
+        assert load.materialize(df, "m_table", "table", folder=folder("tables")).count() == 3
     assert storage.table_exists(spark, "m_table")
     spark.sql("DROP TABLE m_table")
     with pytest.raises(ValueError):

@@ -28,6 +28,7 @@ from cartwright.functions import (
 from cartwright.operators import checks
 from cartwright.operators.contracts import enforce_contract
 from cartwright.operators.dedup import dedup_first
+from cartwright.operators.hot import HotKeys
 from cartwright.operators.lookback import incremental_filter
 from cartwright.operators.pit import pit_join
 from cartwright.operators.snapshot import VALID_TO, read_history, scd2_merge, scd2_snapshot
@@ -36,8 +37,8 @@ from cartwright.plans import contracts, enrich, job, marts, reports, staging
 from cartwright.plans.declared_checks import SOURCE_CHECKS, STAGING_CHECKS
 from cartwright.plans.staging import timestamp_of
 from cartwright.session import shared_dir, tune
-from cartwright.sources import load, parquet
-from cartwright.sources.publish import read_target
+from cartwright.sources import SOURCES, load, parquet, storage
+from cartwright.sources.publish import distinct_values, read_target, replace_partitions
 from cartwright.streaming import stream_dedup_events, stream_ingest, stream_upsert
 from workbench import bindings, oracle
 from workbench.oracle import EVENTS_AS_OF, ORDERS_AS_OF, RUN_TS, compose
@@ -169,6 +170,28 @@ register(
   cast(json_extract_string(metadata, '$.temp_sensitive') AS BOOLEAN) AS temp_sensitive
 FROM raw_inventory_feed""",
 )(lambda i: staging.inventory_flatten(i.raw("raw_inventory_feed")))
+_NEW_FEED = """CASE WHEN product_id % 13 = 0 THEN '{"last_restock": ' WHEN product_id % 17 = 0 THEN '[1]'
+  WHEN product_id % 7 = 0 THEN replace(metadata, '}', ',"grade":"' || cast(product_id % 5 AS STRING) || '"}')
+  ELSE metadata END"""
+
+
+@register(
+    "inventory_open",
+    f"""SELECT cast(snapshot_date AS DATE) AS snapshot_date, warehouse_id, product_id, sku, qty_on_hand, qty_reserved,
+  reorder_point, cast(json_extract_string(m, '$.last_restock') AS DATE) AS last_restock,
+  json_extract_string(m, '$.storage_zone') AS storage_zone,
+  cast(json_extract_string(m, '$.temp_sensitive') AS BOOLEAN) AS temp_sensitive,
+  json_extract_string(m, '$.grade') AS grade, CASE WHEN m IS NULL THEN text END AS rejected_text
+FROM (SELECT *, {_NEW_FEED} AS text, CASE WHEN product_id % 13 > 0 AND product_id % 17 > 0 THEN {_NEW_FEED} END AS m
+  FROM raw_inventory_feed)""",
+)
+def _inventory_open(i: Inputs) -> DataFrame:
+    """A feed that has grown a field and sends broken texts."""
+    feed = i.raw("raw_inventory_feed").withColumn("metadata", F.expr(_NEW_FEED))
+    flat = staging.inventory_open(feed)
+    return flat.withColumn("grade", F.col("other_fields")["grade"]).drop("other_fields")
+
+
 register(
     "dedup_first",
     """SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
@@ -303,9 +326,7 @@ def _distinct_if(step: str, who: str) -> str:
     return f"count(DISTINCT {who}) FILTER (WHERE event_type = '{step}')"
 
 
-register(
-    "funnel_conversion",
-    f"""SELECT *, round(sessions_product_view / nullif(sessions_page_view, 0), 4) AS page_to_pdp_rate,
+_FUNNEL = f"""SELECT *, round(sessions_product_view / nullif(sessions_page_view, 0), 4) AS page_to_pdp_rate,
   round(sessions_add_to_cart / nullif(sessions_product_view, 0), 4) AS pdp_to_cart_rate,
   round(sessions_checkout_start / nullif(sessions_add_to_cart, 0), 4) AS cart_to_checkout_rate,
   round(sessions_checkout_complete / nullif(sessions_checkout_start, 0), 4) AS checkout_completion_rate,
@@ -320,8 +341,9 @@ FROM (SELECT cast(event_ts AS DATE) AS event_date, channel, device,
   {_distinct_if("checkout_complete", "session_id")} AS sessions_checkout_complete,
   {_distinct_if("page_view", "customer_id")} AS users_page_view,
   {_distinct_if("checkout_complete", "customer_id")} AS users_converted, count(*) AS total_events
-FROM stg_events GROUP BY ALL)""",
-)(lambda i: marts.funnel_conversion(i.events(), RUN_AT))
+FROM stg_events GROUP BY ALL)"""
+
+register("funnel_conversion", _FUNNEL)(lambda i: marts.funnel_conversion(i.events(), RUN_AT))
 
 
 # --- audits and reports ---------------------------------------------------
@@ -416,6 +438,21 @@ FROM (SELECT category, reason, count(*) AS n_returned
     FROM stg_returns) USING (order_id) GROUP BY ALL)
 JOIN (SELECT category, count(*) AS n_orders FROM sold_categories GROUP BY category) USING (category)""",
 )(lambda i: reports.return_rate(i.raw("raw_order_items"), i.returns(), i.products()))
+register(
+    "product_return_rate",
+    """SELECT t.product_id, c.category, t.n_orders, t.n_returned_orders,
+  round(t.n_returned_orders / t.n_orders, 4) AS return_rate, r.reason,
+  coalesce(r.n_returned, 0) AS n_returned, round(coalesce(r.refund, 0), 2) AS refund_share_idr
+FROM (SELECT product_id, count(*) AS n_orders, count(b.order_id) AS n_returned_orders
+      FROM (SELECT DISTINCT order_id, product_id FROM raw_order_items) s
+      LEFT JOIN (SELECT DISTINCT order_id FROM stg_returns) b USING (order_id) GROUP BY product_id) t
+LEFT JOIN (SELECT product_id, max(category) AS category FROM stg_products GROUP BY product_id) c USING (product_id)
+LEFT JOIN (SELECT product_id, reason, count(*) AS n_returned, sum(refund / n_products) AS refund
+      FROM (SELECT DISTINCT order_id, product_id FROM raw_order_items)
+      JOIN (SELECT order_id, count(DISTINCT product_id) AS n_products FROM raw_order_items GROUP BY order_id) USING (order_id)
+      JOIN (SELECT order_id, coalesce(reason_clean, '(none)') AS reason, sum(refund_amount_idr) AS refund
+            FROM stg_returns GROUP BY ALL) USING (order_id) GROUP BY ALL) r USING (product_id)""",
+)(lambda i: reports.product_return_rate(i.raw("raw_order_items"), i.returns(), i.products()))
 register(
     "gmv_by_period",
     " UNION ALL ".join(
@@ -589,6 +626,17 @@ def _late_versions(i: Inputs) -> DataFrame:
     return rounded(read_target(i.spark, target), "total_paid")
 
 
+@register("fct_orders_full_refresh", round_sql("fct_orders", "total_paid"))
+def _orders_full_refresh(i: Inputs) -> DataFrame:
+    """Wrong amounts of old orders, which no lookback would reach, are put right by the full-refresh switch."""
+    target, orders = i.scratch("fct_orders"), i.orders()
+    rest = (i.raw("raw_dim_customers"), i.payments(), RUN_AT)
+    wrong = orders.where(F.col("order_id") % 4 > 0).withColumn("net_amount", F.col("net_amount") * 2)
+    job.refresh_orders(i.spark, target, wrong, *rest, partition_col="order_month")
+    job.refresh_orders(i.spark, target, orders, *rest, partition_col="order_month", full=True)
+    return rounded(read_target(i.spark, target), "total_paid")
+
+
 @register("fct_events_upsert", "SELECT * FROM fct_events")
 def _events_upsert(i: Inputs) -> DataFrame:
     target, events = i.scratch("fct_events"), i.raw("raw_events")
@@ -620,13 +668,193 @@ def _scd2_snapshot(i: Inputs) -> DataFrame:
     return read_history(i.spark, target)
 
 
+@register("scd2_snapshot_products_written", "SELECT * FROM product_history")
+def _scd2_products(i: Inputs) -> DataFrame:
+    """The product history as three runs write it, closed versions by month."""
+    target = i.scratch("products")
+    for batch, now in enumerate(SNAPSHOT_RUNS, start=1):
+        scd2_snapshot(i.spark, target, i.raw(f"raw_products_{batch}"), "product_id", now=now)
+    return read_history(i.spark, target)
+
+
 register("scd2_snapshot_products", "SELECT * FROM product_history")(
     lambda i: i.history("raw_products", "product_id")
 )
 
 
+@register("customer_rfm_incremental", round_sql("customer_rfm", "total_spent"))
+def _rfm_incremental(i: Inputs) -> DataFrame:
+    """The state of 2000 and later comes in a second run, which reads those months of the orders only."""
+    facts, months = i.scratch("facts"), i.scratch("months")
+    replace_partitions(i.spark, i.fct_orders(), facts, "order_month")
+    orders = read_target(i.spark, facts)
+    late = F.col(job.DAY) >= "2000-01-01"
+    job.refresh_customer_months(i.spark, months, orders.where(~late))
+    days = distinct_values(orders.where(late), job.DAY)
+    job.refresh_customer_months(i.spark, months, orders, days)
+    return rounded(marts.rfm_of_months(read_target(i.spark, months), ORDERS_DAY), "total_spent")
+
+
+@register("funnel_conversion_incremental", _FUNNEL)
+def _funnel_incremental(i: Inputs) -> DataFrame:
+    """Events from 20 January on come in a second run, and so do some of 5 January."""
+    target, facts = i.scratch("funnel"), i.scratch("events")
+    replace_partitions(i.spark, i.fct_events(), facts, "event_date")
+    events = read_target(i.spark, facts)
+    early = (F.col("event_date") < "2024-01-20") & ~((F.col("event_date") == "2024-01-05") & (F.col("event_hour") > 12))
+    job.refresh_funnel(i.spark, target, events.where(early), RUN_AT)
+    job.refresh_funnel(i.spark, target, events, RUN_AT, distinct_values(events.where(~early), "event_date"))
+    return job.read_daily(i.spark, target)
+
+
+@register(
+    "customers_by_period",
+    """SELECT period, period_start, channel, count(DISTINCT customer_id) AS n_customers, TRUE AS within_bound
+FROM (SELECT 'week' AS period, cast(date_trunc('week', order_date) AS DATE) AS period_start, * FROM fct_orders
+  UNION ALL SELECT 'month', cast(date_trunc('month', order_date) AS DATE), * FROM fct_orders)
+WHERE is_completed GROUP BY ALL""",
+)
+def _customers_by_period(i: Inputs) -> DataFrame:
+    """Exact counts, and whether the estimate from the days' stored sketches is within five times its error of them."""
+    stored, orders = i.scratch("sketches"), i.fct_orders()
+    parquet.write_flat(marts.customer_sketches(orders), stored)
+    keys = ["period", "period_start", "channel"]
+    about = marts.customers_by_period(parquet.read_table(i.spark, stored)).withColumnRenamed("n_customers", "about")
+    listed = F.array(*(F.struct(F.lit(p).alias("period"), F.trunc("order_date", p).alias("period_start")) for p in ("week", "month")))
+    exact = orders.where("is_completed").select("channel", "customer_id", F.inline(listed))
+    exact = exact.groupBy(*keys).agg(F.count_distinct("customer_id").alias("n_customers"))
+    bound = 5 * 1.04 / 2**6
+    near = F.abs(F.col("about") / F.col("n_customers") - 1) <= bound
+    return exact.join(about, keys, "left").select(*keys, "n_customers", F.coalesce(near, F.lit(False)).alias("within_bound"))
+
+
+# --- guards, registry, materialization ------------------------------------
+
+_LANDED = {"fact_orders": ("raw_orders", "order_date"), "fact_payments": ("raw_payments", "payment_date"), "raw_returns": ("raw_returns", None)}
+
+
+def _land(i: Inputs, base: str) -> None:
+    """Some sources in the layout their specifications name; dated ones by month, to keep the folders few."""
+    for name, (binding, at) in _LANDED.items():
+        spec = SOURCES[name]
+        df = i.raw(binding)
+        df = df.select(*(F.col(f.name).cast(f.dataType) for f in spec.schema if f.name in df.columns))
+        if at is None:
+            parquet.write_flat(df, spec.location(base))
+        else:
+            month = F.trunc(F.col(at).cast("timestamp_ntz"), "month").cast("string")
+            parquet.write_partitioned(df.withColumn("_at", month), spec.location(base), "_at", spec.partition_col)
+
+
+@register(
+    "source_registry",
+    "\nUNION ALL ".join(
+        f"SELECT '{name}' AS source, count(*) AS n_rows, count(DISTINCT {key}) AS n_keys FROM {binding}"
+        for name, binding, key in (
+            ("fact_orders", "raw_orders", "order_id"),
+            ("fact_payments", "raw_payments", "payment_id"),
+            ("raw_returns", "raw_returns", "return_ref"),
+        )
+    ),
+)
+def _source_registry(i: Inputs) -> DataFrame:
+    """Sources read back by name through their specifications: path, partition column, schema, keys."""
+    base = i.scratch("landing")
+    _land(i, base)
+    keys = {name: (SOURCES[name].keys or ("return_ref",))[0] for name in _LANDED}
+    counted = [
+        SOURCES[name].read(i.spark, base).agg(
+            F.lit(name).alias("source"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys")
+        )
+        for name, key in keys.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+@register(
+    "existence_guards",
+    "\nUNION ALL ".join(
+        f"SELECT '{name}' AS source, FALSE AS stood_before, 'full_refresh' AS first_load, 'appended' AS second_load,"
+        f" TRUE AS stands_after, count(*) AS n_rows FROM {binding}"
+        for name, (binding, _) in _LANDED.items()
+    )
+    + "\nUNION ALL SELECT 'fact_events', FALSE, 'skipped', 'skipped', FALSE, 0",
+)
+def _existence_guards(i: Inputs) -> DataFrame:
+    """Loads that ask first whether source and target are there; the events' source is not."""
+    base, out = i.scratch("landing"), []
+    _land(i, base)
+    for name in (*_LANDED, "fact_events"):
+        src, dst = SOURCES[name].location(base), i.scratch(name)
+        stood = storage.table_exists(i.spark, dst)
+        loads = [load.incremental_load(i.spark, src, dst) for _ in range(2)]
+        stands = storage.table_exists(i.spark, dst)
+        rows = parquet.read_table(i.spark, dst) if stands else i.spark.range(0)
+        told = [F.lit(name).alias("source"), F.lit(stood).alias("stood_before"), F.lit(loads[0]).alias("first_load")]
+        told += [F.lit(loads[1]).alias("second_load"), F.lit(stands).alias("stands_after")]
+        out.append(rows.agg(F.count(F.lit(1)).alias("n_rows")).select(*told, "n_rows"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@register(
+    "materialize",
+    """SELECT kind, order_status, count(*) AS n_orders FROM stg_orders, (VALUES ('inline'), ('table'), ('view')) t(kind)
+GROUP BY ALL""",
+)
+def _materialize(i: Inputs) -> DataFrame:
+    """One model in the three ways to expose it."""
+    out = []
+    for kind in ("inline", "table", "view"):
+        name = f"stg_orders_{kind}_{uuid.uuid4().hex[:8]}"
+        model = load.materialize(i.orders(), name, kind, folder=i.scratch("tables"))
+        out.append(model.groupBy("order_status").agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n_orders")))
+    return reduce(DataFrame.unionByName, out)
+
+
+# --- hot paths: limits so low that most keys with several rows count as hot ---
+
+_EAGER = HotKeys(share=0.02)
+
+register("pit_join_hot", round_sql("enriched_half_open", "total_paid"))(
+    lambda i: rounded(i.enriched(one_version=False, limits=_EAGER), "total_paid")
+)
+register("lookup_join_hot", "SELECT * FROM stg_order_items")(
+    lambda i: staging.stg_order_items(i.raw("raw_order_items"), i.orders(), _EAGER)
+)
+register("neighbour_hot", "SELECT * FROM stg_customers")(
+    lambda i: staging.stg_customers(i.raw("raw_dim_customers"), _EAGER)
+)
+
+
 # --- checks ---------------------------------------------------------------
 
+
+@register(
+    "fail_fast_checks",
+    """SELECT 'raw_orders' AS table_name, 'raw_orders.shipping_city not_null: ' || n AS finding
+FROM (SELECT count(*) AS n FROM raw_orders WHERE shipping_city IS NULL) WHERE n > 0
+UNION ALL SELECT 'raw_returns', 'raw_returns.currency accepted_values: ' || n
+FROM (SELECT count(*) AS n FROM raw_returns WHERE currency NOT IN ('IDR', 'USD')) WHERE n > 0
+UNION ALL SELECT 'raw_payments', NULL""",
+)
+def _fail_fast(i: Inputs) -> DataFrame:
+    """What a fail-fast run raises for each table, and that it passes a table without findings."""
+    declared = {
+        "raw_orders": [checks.not_null("shipping_city"), checks.not_null("order_id")],
+        "raw_returns": [checks.accepted("currency", "IDR", "USD")],
+        "raw_payments": [checks.not_null("payment_id"), checks.not_null("order_id")],
+    }
+    found = []
+    for name, rules in declared.items():
+        try:
+            checks.run_checks(i.raw(name), name, rules, fail_fast=True)
+            found.append((name, None))
+        except checks.CheckFailed as failed:
+            found.append((name, str(failed)))
+    return i.spark.createDataFrame(found, "table_name string, finding string")
+
+
+
 register("check_not_null", "SELECT * FROM raw_orders WHERE shipping_city IS NULL")(
     lambda i: checks.check_not_null(i.raw("raw_orders"), "shipping_city")
 )
@@ -720,6 +948,24 @@ def _register_checks(name: str, declared: dict[str, list[checks.Check]]) -> None
     register(name, sql)(build)
 
 
+def _register_observed(name: str, declared: dict[str, list[checks.Check]]) -> None:
+    by_row = {t: [c for c in cs if c.kind != "unique"] for t, cs in declared.items()}
+    sql = "\nUNION ALL ".join(_check_sql(t, _CHECKED[t][0], c) for t, cs in by_row.items() for c in cs)
+
+    def build(i: Inputs) -> DataFrame:
+        """The row conditions, counted while each table is written; no table is read for them."""
+        summaries = []
+        for t, cs in by_row.items():
+            if cs:
+                counted, summary = checks.observed(_CHECKED[t][1](i), t, cs)
+                parquet.write_flat(counted, i.scratch(t))
+                summaries.append(summary())
+        return reduce(DataFrame.unionByName, summaries)
+
+    register(name, sql)(build)
+
+
+_register_observed("staging_checks_observed", STAGING_CHECKS)
 _register_checks("source_checks", SOURCE_CHECKS)
 _register_checks("staging_checks", STAGING_CHECKS)
 
