@@ -9,6 +9,7 @@ that pass are opened.
 
 from __future__ import annotations
 
+import itertools
 import math
 import uuid
 import zlib
@@ -90,13 +91,16 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.n
     return out
 
 
-def _sets(column: pa.Array, words: int) -> list[np.ndarray]:
+#: Texts are worked on in slices of about so many bytes, so that memory follows neither the rows of a batch nor their length.
+SLICE_BYTES = 500_000
+
+
+def _sets(column: pa.Array, words: int) -> Iterator[list[np.ndarray]]:
+    """The sets of a column's texts, slice by slice in their order; whoever keeps none of a slice keeps its memory low."""
     data, offsets = utf8(column)
-    out: list[np.ndarray] = []
-    for first, last in pieces(offsets, 500_000):
+    for first, last in pieces(offsets, SLICE_BYTES):
         lo, hi = offsets[first], offsets[last]
-        out += shingle_sets(data[lo:hi], offsets[first : last + 1] - lo, words)
-    return out
+        yield shingle_sets(data[lo:hi], offsets[first : last + 1] - lo, words)
 
 
 SLICES = 64
@@ -113,13 +117,10 @@ def frequencies(docs: DataFrame, s: JaccardSettings) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(s.cells, np.int32), 0
         for batch in batches:
-            cells: list[np.ndarray] = []
-            for tokens in _sets(batch.column(0), s.words):
-                cells.append((tokens >> np.uint64(64 - bits)).astype(np.int64))
-                n += 1
-            if cells:
-                cell, times = np.unique(np.concatenate(cells), return_counts=True)
-                total[cell] += times.astype(np.int32)
+            for sets in _sets(batch.column(0), s.words):
+                n += len(sets)
+                cell, times = np.unique(np.concatenate(sets) >> np.uint64(64 - bits), return_counts=True)
+                total[cell.astype(np.int64)] += times.astype(np.int32)
         if n:
             blobs = [zlib.compress(total[k * part : (k + 1) * part].astype("<i8").tobytes(), 1) for k in range(SLICES)]
             spread = [n % 64] * SLICES
@@ -185,11 +186,15 @@ def tagged(docs: DataFrame, shared, s: JaccardSettings) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = _sets(batch.column("text"), s.words)
-            nodes = pa.array(np.array([node_of(t) for t in sets], np.uint64).view(np.int64))
-            groups = pa.array([shared.value.leading(t)[1] if len(t) else None for t in sets], pa.int64())
+            nodes, sizes, groups = [], [], []
+            for sets in _sets(batch.column("text"), s.words):
+                for tokens in sets:
+                    nodes.append(node_of(tokens))
+                    sizes.append(len(tokens))
+                    groups.append(shared.value.leading(tokens)[1] if len(tokens) else None)
+            named = pa.array(np.array(nodes, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), nodes, pa.array([len(t) for t in sets], pa.int64()), groups],
+                [batch.column("doc_id"), batch.column("row"), named, pa.array(sizes, pa.int64()), pa.array(groups, pa.int64())],
                 names=["doc_id", "row", "node", "n", "gid"],
             )
 
@@ -210,6 +215,8 @@ def merged(token: np.ndarray, gid: np.ndarray, low: np.ndarray, high: np.ndarray
     return token[new], gid[new], np.minimum.reduceat(low, new), np.maximum.reduceat(high, new)
 
 
+#: Pairs of token and group that a task brings together before it sends them; some 30 MB at the peak.
+PACKED = 400_000
 BLOCK = "range int, tokens binary, groups binary, low binary, high binary"
 MET = "token long, a long, b long, k long, low int, high int"
 
@@ -227,26 +234,34 @@ def candidates(docs: DataFrame, shared, s: JaccardSettings) -> DataFrame:
     bits = n.bit_length() - 1
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leads, groups, sizes, held = [], [], [], 0
         for batch in batches:
-            leads, groups, sizes = [], [], []
-            for tokens in _sets(batch.column(0), s.words):
-                if len(tokens):
-                    lead, gid = shared.value.leading(tokens)
-                    leads.append(lead)
-                    groups.append(np.full(len(lead), gid, np.int64))
-                    sizes.append(np.full(len(lead), len(tokens)))
-            if not leads:
-                continue
-            token, gid, low, high = merged(np.concatenate(leads), np.concatenate(groups), *rounded(np.concatenate(sizes)))
-            at = np.searchsorted(token >> np.uint64(64 - bits), np.arange(n + 1).astype(np.uint64))
-            rest = (token >> np.uint64(24 - bits)) & np.uint64((1 << 40) - 1)
-            five = rest.view(np.uint8).reshape(-1, 8)[:, :5]
-            full = np.flatnonzero(np.diff(at))
-            blobs = [[x[at[k] : at[k + 1]].tobytes() for k in full] for x in (five, gid, low, high)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(full.astype(np.int32)), *(pa.array(x, pa.binary()) for x in blobs)],
-                names=["range", "tokens", "groups", "low", "high"],
-            )
+            for sets in _sets(batch.column(0), s.words):
+                for tokens in sets:
+                    if len(tokens):
+                        lead, gid = shared.value.leading(tokens)
+                        leads.append(lead)
+                        groups.append(np.full(len(lead), gid, np.int64))
+                        sizes.append(np.full(len(lead), len(tokens), np.int32))
+                        held += len(lead)
+                # Blocks are sent when enough pairs came together, across batches.
+                if held >= PACKED:
+                    yield blocks_of(leads, groups, sizes)
+                    leads, groups, sizes, held = [], [], [], 0
+        if leads:
+            yield blocks_of(leads, groups, sizes)
+
+    def blocks_of(leads: list, groups: list, sizes: list) -> pa.RecordBatch:
+        token, gid, low, high = merged(np.concatenate(leads), np.concatenate(groups), *rounded(np.concatenate(sizes)))
+        at = np.searchsorted(token >> np.uint64(64 - bits), np.arange(n + 1).astype(np.uint64))
+        rest = (token >> np.uint64(24 - bits)) & np.uint64((1 << 40) - 1)
+        five = rest.view(np.uint8).reshape(-1, 8)[:, :5]
+        full = np.flatnonzero(np.diff(at))
+        blobs = [[x[at[k] : at[k + 1]].tobytes() for k in full] for x in (five, gid, low, high)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(full.astype(np.int32)), *(pa.array(x, pa.binary()) for x in blobs)],
+            names=["range", "tokens", "groups", "low", "high"],
+        )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks: list[list[bytes]] = [[], [], [], [], []]
@@ -390,7 +405,7 @@ def compared(docs: DataFrame, pairs: DataFrame, reps: DataFrame, folder: str, s:
         group, key = [], None
         for batch in batches:
             out = []
-            sets = _sets(batch.column("text"), s.words)
+            sets = itertools.chain.from_iterable(_sets(batch.column("text"), s.words))
             keys = zip(batch.column("pa").to_pylist(), batch.column("pb").to_pylist())
             for k, gid, node, tokens in zip(keys, batch.column("gid").to_pylist(), batch.column("node").to_pylist(), sets):
                 if k != key and group:
@@ -428,6 +443,7 @@ def labelled(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) ->
 
     tags = stored(tagged(rows, shared, s), "tags")
     found = stored(candidates(rows, shared, s), "candidates")
+    shared.unpersist()  # What needs the counts is written.
     reps = tags.where("gid is not null").groupBy("node").agg(F.min(F.struct("doc_id", "row", "gid")).alias("r")).select("node", "r.doc_id", "r.row", "r.gid")
     within = reps.groupBy("gid").count().where("count > 1").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
     seen = found.where("token is null").select("a", "b", "k", "low")
