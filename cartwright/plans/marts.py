@@ -79,34 +79,23 @@ def dim_customers_scd(customers: DataFrame, as_of: dt.date) -> DataFrame:
 def _daily_sales(rows: DataFrame, kept: Column, extra: dict[str, str] | None = None) -> DataFrame:
     """Revenue measures per REVENUE_KEYS over the rows where ``kept`` holds, and sums of ``extra`` columns over all rows.
 
-    Two distinct counts at once would make Spark copy every row three times. Instead, rows are first joined to one per
-    order, with its customers (nearly always one), then to one per customer, then to one per group: each shuffle is
-    smaller than the one before, sums travel with an order's first customer, and a hot group is spread over its orders.
+    Two distinct counts make Spark list each row under its order, its customer and its group, and combine each of the three before the
+    shuffle. Grouping by order, by customer and by group in turn sends as many rows and was measured 1.5 times slower.
     """
-    extra = extra or {}
-    sums = {name: name for name in ("gross_amount", "discount_total", "net_amount")} | extra
-    only = {column: F.when(kept, F.col(column)) for column in ("gross_amount", "discount_total", "net_amount")}
-    per_order = rows.groupBy(*REVENUE_KEYS, F.when(kept, F.col("order_id")).alias("_order")).agg(
-        F.collect_set(F.when(kept, F.col("customer_id"))).alias("_customers"),
-        *(F.sum(only.get(column, F.col(column))).alias(name) for name, column in sums.items()),
-        F.count(only["net_amount"]).alias("_n_net"),
+
+    def only(column: str) -> Column:
+        return F.when(kept, F.col(column))
+
+    return rows.groupBy(*REVENUE_KEYS).agg(
+        F.count_distinct(only("order_id")).alias("n_orders"),
+        F.count_distinct(only("customer_id")).alias("n_unique_customers"),
+        F.sum(only("gross_amount")).alias("gross_revenue"),
+        F.sum(only("discount_total")).alias("total_discounts"),
+        F.sum(only("net_amount")).alias("net_revenue"),
+        F.avg(only("net_amount")).alias("avg_order_value"),
         F.count_if(kept & F.col("is_split_payment")).alias("n_split_payment_orders"),
         F.count_if(kept).alias("_n_completed"),
-    )
-    added = [*sums, "_n_net", "n_split_payment_orders", "_n_completed"]
-    first = F.coalesce(F.col("_at"), F.lit(0)) == 0
-    listed = per_order.select("*", F.posexplode_outer("_customers").alias("_at", "_customer"))
-    per_customer = listed.groupBy(*REVENUE_KEYS, "_customer").agg(
-        F.count(F.when(first, F.col("_order"))).alias("n_orders"), *(F.sum(F.when(first, F.col(c))).alias(c) for c in added)
-    )
-    return per_customer.groupBy(*REVENUE_KEYS).agg(
-        F.sum("n_orders").alias("n_orders"),
-        F.count("_customer").alias("n_unique_customers"),
-        F.sum("gross_amount").alias("gross_revenue"),
-        F.sum("discount_total").alias("total_discounts"),
-        F.sum("net_amount").alias("net_revenue"),
-        F.try_divide(F.sum("net_amount"), F.sum("_n_net")).alias("avg_order_value"),
-        *(F.sum(c).alias(c) for c in ("n_split_payment_orders", "_n_completed", *extra)),
+        *(F.sum(column).alias(name) for name, column in (extra or {}).items()),
     )
 
 

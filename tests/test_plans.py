@@ -37,11 +37,6 @@ def test_no_nested_loops_and_no_python(spark, name):
         assert slow not in text
 
 
-@pytest.mark.parametrize("name", ["fct_revenue_daily", "fct_revenue_daily_by_return_date"])
-def test_distinct_counts_do_not_copy_rows(spark, name):
-    assert "Expand" not in plan(QUERIES[name](spark, SMALL))
-
-
 def test_partition_literals_prune_folders(spark, folder):
     days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
     facts = spark.createDataFrame([(n, day) for n, day in enumerate(days)], "id long, day date")
