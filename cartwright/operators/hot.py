@@ -30,7 +30,7 @@ MOST_TRACKED = 1_000_000
 
 
 def find_hot(df: DataFrame, key: str, limits: HotKeys = HotKeys()) -> DataFrame | None:
-    """The hot values of ``key`` with a number of ``pieces`` to cut each into.
+    """The hot values of ``key`` with a number of ``pieces`` to cut each into, and about how many rows they have.
 
     None when there are none, which is the usual case and leaves the plan of
     the calling operator as it would be without this precaution.  A key with
@@ -44,10 +44,10 @@ def find_hot(df: DataFrame, key: str, limits: HotKeys = HotKeys()) -> DataFrame
     sketch = F.expr(f"approx_top_k(`{key}`, {most}, {16 * most})")
     n_rows, heaviest = df.agg(F.count(F.lit(1)), sketch).first()
     limit = max(1.0, limits.share * n_rows / tasks)
-    rows = [(key_value, max(2, min(tasks, math.ceil(n / limit)))) for key_value, n in heaviest or [] if n > limit]
+    rows = [(value, max(2, min(tasks, math.ceil(n / limit))), n) for value, n in heaviest or [] if n > limit]
     if not rows:
         return None
-    schema = df.select(key).withColumn("pieces", F.lit(1)).schema
+    schema = df.select(key).withColumns({"pieces": F.lit(1), "n_rows": F.lit(1).cast("long")}).schema
     schema[key].nullable = True
     return df.sparkSession.createDataFrame(rows, schema)
 
@@ -67,5 +67,41 @@ def with_pieces(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
 
     ``hot`` has no more rows than ``HotKeys`` allows, so it is broadcast.
     """
-    listed = right_keys(hot.withColumnRenamed("pieces", "_pieces"), [key])
+    listed = right_keys(hot.select(key, F.col("pieces").alias("_pieces")), [key])
     return df.join(F.broadcast(listed), same_keys([key]), "left").drop(f"_right_{key}")
+
+
+#: Values drawn for each piece of a hot key, to find where to cut it.
+DRAWN = 32
+
+
+def cut_points(df: DataFrame, key: str, order_col: str, hot: DataFrame) -> DataFrame:
+    """``key, cuts``: for each hot key the values of ``order_col`` that part its rows into about equal pieces.
+
+    Taken from a sample whose size follows the number of pieces, not of rows. They come to the driver, at most one
+    for each piece, so that every use of them in a plan sees the same ones.
+    """
+    listed = right_keys(hot, [key])
+    some = df.where(F.col(order_col).isNotNull()).select(key, order_col).join(F.broadcast(listed), same_keys([key]))
+    drawn = some.where(F.rand(11) * F.col("n_rows") < F.col("pieces") * DRAWN)
+    values = F.sort_array(F.collect_list(order_col)).alias("values")
+    sampled = drawn.groupBy(key).agg(values, F.first("pieces").alias("pieces"))
+    places = F.sequence(F.lit(1), F.col("pieces") - 1)
+    cuts = F.array_distinct(F.transform(places, lambda i: F.get("values", F.expr("size(values)") * i / F.col("pieces"))))
+    found = sampled.select(key, cuts.alias("cuts"))
+    return df.sparkSession.createDataFrame(found.collect(), found.schema)
+
+
+def with_piece(df: DataFrame, key: str, cuts: DataFrame, **positions: Column) -> DataFrame:
+    """Add for each of ``positions`` the number of its key's cuts up to it: it never decreases along the key.
+
+    NULL for keys without cuts, and where the position is NULL.
+    """
+    listed = right_keys(cuts.withColumnRenamed("cuts", "_cuts"), [key])
+    known = df.join(F.broadcast(listed), same_keys([key]), "left")
+
+    def passed(at: Column) -> Column:
+        return F.when(at.isNotNull(), F.size(F.filter("_cuts", lambda c: c <= at)))
+
+    numbered = {name: F.when(F.col("_cuts").isNotNull(), passed(at)) for name, at in positions.items()}
+    return known.withColumns(numbered | {"_n_cuts": F.when(F.col("_cuts").isNotNull(), F.size("_cuts"))}).drop(f"_right_{key}", "_cuts")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwright.operators.hot import with_pieces
+from cartwright.operators.hot import cut_points, with_piece
 
 
 def with_neighbour(
@@ -18,14 +18,13 @@ def with_neighbour(
     direction: str = "next",
     tie_break: Sequence[str] = (),
     hot: DataFrame | None = None,
-    grain: Column | None = None,
 ) -> DataFrame:
     """Add ``take`` = {new column: source column} from the neighbouring row.
 
     Rows of a key are ordered by ``order_col`` (NULL last), then ``tie_break``;
     each key is one window group.  With ``hot`` keys (see ``find_hot``), a hot
-    key is cut along ``grain``, a function of ``order_col`` that never
-    decreases (by default the calendar day).  Each piece is its own group, and
+    key is cut at values of ``order_col`` that part its rows evenly, so also a key
+    whose rows share one day.  Each piece is its own group, and
     a stand-in for the adjacent piece's nearest row closes it: pieces of all
     hot keys together have one stand-in each, whatever their number of rows.
     """
@@ -40,10 +39,11 @@ def with_neighbour(
         group = Window.partitionBy(key).orderBy(*sorting)
         return df.withColumn("_near", shift(values).over(group)).withColumns(added).drop("_near")
 
-    grain = F.substring(F.col(order_col).cast("string"), 1, 10) if grain is None else grain
-    cut = with_pieces(df, key, hot).select(
+    numbered = with_piece(df, key, cut_points(df, key, order_col, hot), _at=F.col(order_col))
+    # Rows without a place come last.
+    cut = numbered.select(
         *df.columns,
-        F.when(F.col("_pieces").isNotNull(), F.coalesce(grain, F.lit("~"))).alias("_piece"),
+        F.when(F.col("_n_cuts").isNotNull(), F.coalesce("_at", F.col("_n_cuts") + 1)).alias("_piece"),
         values.alias("_values"),
         F.lit(False).alias("_stands_in"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.operators.hot import with_pieces
+from cartwright.operators.hot import cut_points, with_piece
 
 # Fixed value: end of a version that is still open, in the closed comparison.
 OPEN_END = "2999-12-31"
@@ -16,25 +16,21 @@ def supersede(valid_to: Column, next_valid_from: Column) -> Column:
     return F.least(valid_to, next_valid_from)
 
 
-def _month(ts: Column) -> Column:
-    return F.year(ts) * 12 + F.month(ts)
-
-
-def _by_month(
+def _by_piece(
     facts: DataFrame, versions: DataFrame, key: str, ts: str, valid_from: str, valid_to: str, hot: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Both sides with ``_month``: 0 for ordinary keys; for hot ones the fact's
-    month, and each month a version covers.  Months after the newest version
-    start count as one, so open versions are not listed without end."""
-    last = _month(versions.agg(F.max(valid_from).alias("newest")).scalar()) + 1
-    dated = with_pieces(facts, key, hot).withColumn(
-        "_month", F.when(F.col("_pieces").isNull(), 0).otherwise(F.least(_month(F.col(ts)), last))
-    )
-    begin, end = _month(F.col(valid_from)), F.least(_month(F.col(valid_to)), last)
+    """Both sides with ``_piece``: 0 for ordinary keys; for hot ones the piece of time the fact lies in, and each piece a
+    version reaches into. Times are cut where the versions' starts are parted evenly, however close they lie; an
+    open version reaches to the last piece."""
+    cuts = cut_points(versions, key, valid_from, hot)
+    dated = with_piece(facts, key, cuts, _at=F.col(ts))
+    dated = dated.withColumn("_piece", F.when(F.col("_n_cuts").isNull(), 0).otherwise(F.coalesce("_at", F.lit(-1))))
+    reached = with_piece(versions, key, cuts, _begin=F.col(valid_from), _end=F.col(valid_to))
+    begin, end = F.col("_begin"), F.coalesce("_end", "_n_cuts")
     covered = F.when(begin <= end, F.sequence(begin, end)).otherwise(F.array().cast("array<int>"))
-    months = F.when(F.col("_pieces").isNull(), F.array(F.lit(0))).otherwise(covered)
-    listed = with_pieces(versions, key, hot).withColumn("_month", F.explode(months))
-    return dated.drop("_pieces"), listed.drop("_pieces")
+    pieces = F.when(F.col("_n_cuts").isNull(), F.array(F.lit(0))).otherwise(covered)
+    listed = reached.withColumn("_piece", F.explode(pieces))
+    return dated.drop("_at", "_n_cuts"), listed.drop("_begin", "_end", "_n_cuts")
 
 
 def pit_join(
@@ -57,7 +53,7 @@ def pit_join(
     The key drives the join and the range filters its matches; both sides come
     straight from a shuffle, so AQE can split a key with very many facts.  A
     key with very many versions (``hot``, found on ``dim``) would compare each
-    of its facts with each of them, so its rows also have to agree on the month.
+    of its facts with each of them, so its rows also have to agree on the piece of time.
     """
     if closed not in ("left", "both") or how not in ("left", "inner"):
         raise ValueError("closed is 'left' or 'both', how is 'left' or 'inner'")
@@ -68,9 +64,9 @@ def pit_join(
         valid = (lo <= at) & (hi.isNull() | (at < hi))
     facts, versions = left, dim
     if hot is not None:
-        facts, versions = _by_month(left, dim, key, ts, valid_from, valid_to, hot)
-        versions = versions.withColumnRenamed("_month", "_dim_month")
-        valid = valid & (F.col("_month") == F.col("_dim_month"))
+        facts, versions = _by_piece(left, dim, key, ts, valid_from, valid_to, hot)
+        versions = versions.withColumnRenamed("_piece", "_dim_piece")
+        valid = valid & (F.col("_piece") == F.col("_dim_piece"))
     versions = versions.withColumnRenamed(key, "_dim_key")
     matched = facts.join(versions, (F.col(key) == F.col("_dim_key")) & valid, how)
     taken = [c for c in dim.columns if c not in (key, valid_from, valid_to)]

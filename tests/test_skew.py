@@ -6,7 +6,7 @@ import random
 from conftest import EAGER, plan, rows, ts
 from pyspark.sql import functions as F
 
-from cartwright.operators.hot import HotKeys, find_hot
+from cartwright.operators.hot import HotKeys, cut_points, find_hot, with_piece
 from cartwright.operators.lookup import lookup_join
 from cartwright.operators.neighbours import with_neighbour
 from cartwright.operators.pit import pit_join
@@ -81,6 +81,30 @@ def test_with_neighbour_cuts_hot_keys(spark):
         assert rows(with_neighbour(df, "k", "at", take, direction, ["id"], hot)) == want
 
 
+def test_a_hot_key_on_one_day_is_cut_evenly(spark):
+    """All rows of the key lie within a minute; no piece is over twice the average."""
+    rng = random.Random(8)
+    data = [(i, 7, f"2024-01-01 10:00:00.{rng.randrange(10**6):06d}") for i in range(6000)]
+    data += [(i, 100 + i, "2024-01-01 10:00:00") for i in range(6000, 8000)]
+    df = spark.createDataFrame(data, "id long, k long, at string")
+    hot = find_hot(df, "k", HotKeys(share=0.2))
+    cuts = cut_points(df, "k", "at", hot)
+    sizes = [r["count"] for r in with_piece(df.where("k = 7"), "k", cuts, piece=F.col("at")).groupBy("piece").count().collect()]
+    assert len(sizes) == 4 and max(sizes) <= 2 * 6000 / 4
+    take = {"near_at": "at", "near_id": "id"}
+    want = neighbours_by_hand([d for d in data if d[1] == 7], "next")
+    assert rows(with_neighbour(df.where("k = 7"), "k", "at", take, "next", ["id"], hot)) == want
+    # Versions of one minute, and facts within it.
+    start = ts("2024-01-01 10:00:00")
+    versions = [(i, 7, start + dt.timedelta(microseconds=100 * i), start + dt.timedelta(microseconds=100 * i + 100)) for i in range(3000)]
+    dim = spark.createDataFrame(versions, "v long, k long, lo timestamp_ntz, hi timestamp_ntz")
+    left = spark.createDataFrame([(i, 7, start + dt.timedelta(microseconds=100 * i + 5)) for i in range(0, 3000, 7)], "id long, k long, at timestamp_ntz")
+    many = find_hot(dim, "k", HotKeys(share=0.2))
+    parts = with_piece(dim, "k", cut_points(dim, "k", "lo", many), piece=F.col("lo")).groupBy("piece").count().collect()
+    assert max(r["count"] for r in parts) <= 2 * 3000 / 4
+    assert rows(pit_join(left, dim, "k", "at", "lo", "hi", hot=many).select("id", "v")) == rows(left.select("id", F.col("id").alias("v")))
+
+
 def matches_by_hand(facts, versions, closed):
     out = []
     for fid, k, at in facts:
