@@ -16,6 +16,7 @@ from cartwright.operators.snapshot import read_history, scd2_merge, scd2_snapsho
 from cartwright.operators.upsert import align_schemas, upsert, upsert_frames
 from cartwright.sources import keyindex, ledger, load, parquet, publish, storage
 from cartwright.sources.publish import finish_pending, read_target, replace_partitions
+from cartwright.streaming import stream_dedup_with_late
 
 FACT = "id long, day date, v string"
 MONDAY, TUESDAY = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -439,3 +440,35 @@ def test_existence_checks(spark, folder):
     assert not storage.files_exist(spark, folder("b") + "/*.parquet")
     assert storage.table_exists(spark, folder("a")) and not storage.table_exists(spark, folder("b"))
     assert not storage.table_exists(spark, "no_such_table")
+
+
+# --- streams ----------------------------------------------------------------
+
+
+def test_late_rows_of_a_stream_are_kept_apart(spark, folder):
+    """Per micro-batch: on time, repeated, late, without a time; a replay changes nothing."""
+    schema = "id long, at string"
+    src, target, late, progress = folder("src"), folder("target"), folder("late"), folder("progress")
+    arrivals = [
+        [(1, "2024-01-10 00:00:00"), (2, "2024-01-01 00:00:00"), (1, "2024-01-10 01:00:00")],
+        [(3, "2024-01-08 00:00:00"), (1, "2024-01-09 00:00:00"), (4, "2024-01-06 23:59:59"), (5, None), (6, "2024-02-01 00:00:00")],
+        [(7, "2024-01-28 00:00:00"), (8, "2024-01-30 00:00:00"), (6, "2024-02-02 00:00:00")],
+    ]
+    for rows_ in arrivals:
+        parquet.write_flat(spark.createDataFrame(rows_, schema), src, mode="append")
+        stream = spark.readStream.schema(schema).parquet(src).withColumn("day", F.to_date("at"))
+        stream_dedup_with_late(stream, target, late, ["id"], "at", "day", progress).awaitTermination()
+    assert rows(read_target(spark, target).select("id", "at")) == [
+        (1, "2024-01-10 00:00:00"), (2, "2024-01-01 00:00:00"), (3, "2024-01-08 00:00:00"), (5, None), (6, "2024-02-01 00:00:00"), (8, "2024-01-30 00:00:00"),
+    ]
+    left = spark.read.schema(schema).parquet(late).select("id", "at")
+    assert rows(left) == [(4, "2024-01-06 23:59:59"), (7, "2024-01-28 00:00:00")]
+    # The last micro-batch once more, as after a failure before its commit was noted.
+    for kind in ("commits",):
+        newest = max(Path(progress, kind).glob("[0-9]*"), key=lambda p: int(p.name))
+        newest.unlink()
+        newest.with_name(f".{newest.name}.crc").unlink(missing_ok=True)
+    stream = spark.readStream.schema(schema).parquet(src).withColumn("day", F.to_date("at"))
+    stream_dedup_with_late(stream, target, late, ["id"], "at", "day", progress).awaitTermination()
+    assert rows(spark.read.schema(schema).parquet(late).select("id", "at")) == [(4, "2024-01-06 23:59:59"), (7, "2024-01-28 00:00:00")]
+    assert read_target(spark, target).count() == 6

@@ -39,7 +39,7 @@ from cartwright.plans.staging import timestamp_of
 from cartwright.session import shared_dir, tune
 from cartwright.sources import SOURCES, load, parquet, storage
 from cartwright.sources.publish import distinct_values, read_target, replace_partitions
-from cartwright.streaming import stream_dedup_events, stream_ingest, stream_upsert
+from cartwright.streaming import stream_dedup_events, stream_dedup_with_late, stream_ingest, stream_upsert
 from workbench import bindings, oracle
 from workbench.oracle import EVENTS_AS_OF, ORDERS_AS_OF, RUN_TS, compose
 
@@ -1130,6 +1130,31 @@ def _stream_dedup(i: Inputs) -> DataFrame:
     return parquet.read_table(i.spark, dst)
 
 
+@register(
+    "stream_late_events",
+    """SELECT event_id, CASE WHEN odd OR cast(event_ts AS TIMESTAMP) >= newest - INTERVAL 3 DAY THEN 'target' ELSE 'late' END AS place,
+  count(DISTINCT event_id) AS n
+FROM (SELECT *, cast(substr(event_id, 2) AS BIGINT) % 2 = 1 AS odd FROM raw_events),
+  (SELECT max(cast(event_ts AS TIMESTAMP)) AS newest FROM raw_events WHERE cast(substr(event_id, 2) AS BIGINT) % 2 = 1)
+GROUP BY ALL""",
+)
+def _stream_late(i: Inputs) -> DataFrame:
+    """Events with odd ids come first, those with even ids after them: most are late, and every id is in one place."""
+    events, src = i.raw("raw_events"), i.scratch("landing")
+    target, late, progress = i.scratch("target"), i.scratch("late"), i.scratch("progress")
+    odd = F.substring("event_id", 2, 20).cast("long") % 2 == 1
+    day = F.to_date(F.col("event_ts").cast("timestamp_ntz"))
+    for arrived in (events.where(odd), events.where(~odd)):
+        parquet.write_flat(arrived, src, mode="append")
+        source = i.spark.readStream.schema(events.schema).parquet(src).withColumn("day", day)
+        stream_dedup_with_late(source, target, late, ["event_id"], "event_ts", "day", progress).awaitTermination()
+    places = [
+        table.groupBy("event_id").agg(F.lit(name).alias("place"), F.count_distinct("event_id").alias("n"))
+        for name, table in (("target", read_target(i.spark, target)), ("late", i.spark.read.schema(events.schema).parquet(late)))
+    ]
+    return places[0].unionByName(places[1])
+
+
 @register("stream_upsert", "SELECT * FROM fct_events")
 def _stream_upsert(i: Inputs) -> DataFrame:
     """The second arrival repeats known ids with a later time and another session."""
