@@ -88,11 +88,17 @@ def append(spark: SparkSession, dst: str, writer, read: DataFrame, watermark_col
     finish_loading(spark, dst)
 
 
-def adopt(spark: SparkSession, dst: str, building: str, read: DataFrame | None, watermark_col: str) -> None:
-    """Write the first entries for rows that stand below ``building`` already, which may be ``dst`` itself."""
-    entries = table_files(spark, building, watermark_col)
-    if read is not None:
-        entries = entries.unionByName(read)
+def adopt(spark: SparkSession, dst: str, watermark_col: str) -> None:
+    """Give a table that was loaded without a ledger its first entries."""
+    root = f"{dst.rstrip('/')}/{LOADING}"
+    table_files(spark, dst, watermark_col).write.mode("overwrite").parquet(f"{root}/entries")
+    storage.write_text(spark, f"{root}/complete.txt", next_commit(spark, dst))
+    finish_loading(spark, dst)
+
+
+def begin(spark: SparkSession, dst: str, building: str, read: DataFrame, watermark_col: str) -> None:
+    """Write the entries of a rebuilt table beside its rows below ``building``, before both take the place of ``dst``."""
+    entries = table_files(spark, building, watermark_col).unionByName(read)
     entries.write.mode("overwrite").parquet(f"{building.rstrip('/')}/{LEDGER}/{next_commit(spark, dst)}")
 
 

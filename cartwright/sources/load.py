@@ -41,7 +41,7 @@ def full_refresh(
     building = dst.rstrip("/") + "__building"
     _writer(source, "overwrite", partition_col).parquet(building)
     if watermark_col in source.columns:
-        ledger.adopt(spark, dst, building, read, watermark_col)
+        ledger.begin(spark, dst, building, read, watermark_col)
     storage.swap_in(spark, building, dst)
     return REFRESHED
 
@@ -91,7 +91,7 @@ def incremental_load(
     if newest is None:
         return full_refresh(spark, src, dst, partition_col, watermark_col)
     if not ledger.commits(spark, dst):
-        ledger.adopt(spark, dst, dst, None, watermark_col)
+        ledger.adopt(spark, dst, watermark_col)
     entries = ledger.read_ledger(spark, dst)
     start = None if lookback is None else F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {lookback}")
     read = ledger.not_taken(spark, src, entries, start)

@@ -26,6 +26,8 @@ from cartwright.sources.parquet import balanced
 
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 SCHEMA_FILE = "_schema.json"
+#: Folders a table may have: days of some centuries.
+MOST_PARTITIONS = 200_000
 PartitionValue = dt.date | str | None
 
 
@@ -79,10 +81,13 @@ def in_partitions(column: str, values: Iterable[PartitionValue]) -> Column:
 def distinct_values(df: DataFrame, column: str) -> list[PartitionValue]:
     """The distinct partition values of ``df``.
 
-    Collected to the driver: one value per calendar day (or run), which the
-    calendar bounds, whatever the number of rows.
+    Collected to the driver: one value per calendar day or month, which the
+    calendar bounds, whatever the number of rows.  A column with more values is no partition column and is refused.
     """
-    return [row[0] for row in df.select(column).distinct().collect()]
+    values = [row[0] for row in df.select(column).distinct().limit(MOST_PARTITIONS + 1).collect()]
+    if len(values) > MOST_PARTITIONS:
+        raise ValueError(f"{column} has more than {MOST_PARTITIONS} values: it cannot name partitions")
+    return values
 
 
 def finish_pending(spark: SparkSession, target: str) -> bool:
