@@ -57,16 +57,36 @@ def cut_by_hand(texts: list[bytes], length: int) -> list[tuple[int, int, str]]:
     return out
 
 
-@pytest.mark.parametrize("shard_bytes", [2_000_000, 3_000])
-def test_repeats_equal_brute_force(odd, small, shard_bytes):
+@pytest.mark.parametrize("settings", [(200, 32, 2_000_000), (200, 32, 3_000), (51, 8, 20_000)])
+def test_repeats_equal_brute_force(odd, small, settings):
     for docs in (odd, small):
-        found = repeats.remove_repeats(docs, repeats.RepeatSettings(shard_bytes=shard_bytes))
+        found = repeats.remove_repeats(docs, repeats.RepeatSettings(*settings))
         got = sorted((r.doc_id or 0, r._n_removed, r._n_spans, r._kept_sha256) for r in found.collect())
         rows = texts_of(docs)
-        hand = cut_by_hand([t.encode() for _, t in rows], 200)
+        hand = cut_by_hand([t.encode() for _, t in rows], settings[0])
         assert got == sorted((i or 0, *one) for (i, _), one in zip(rows, hand))
 
 
+def test_suffix_array_and_prefixes_equal_brute_force():
+    rng = np.random.default_rng(3)
+    for size, letters in ((1, 1), (40, 1), (300, 2), (500, 5), (3000, 40)):
+        texts = [bytes(rng.integers(97, 97 + letters, n).astype(np.uint8)) for n in rng.integers(1, size + 1, 6)]
+        texts += texts[:2]
+        symbols = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int32) + 1
+        stops = np.cumsum([len(t) + 1 for t in texts]) - 1
+        symbols[stops] = 0
+        left = np.repeat(stops, [len(t) + 1 for t in texts]) - np.arange(len(symbols))
+        for length in (2, 9, 30):
+            order = repeats.suffix_array(symbols, left, length)
+            own = [tuple(symbols[k : k + min(left[k] + 1, length)]) for k in order]
+            assert own == sorted(own)
+            same = [len(x) == length == left_x and x == y for x, y, left_x in zip(own[1:], own, np.minimum(left[order[1:]], length))]
+            got = repeats.long_prefixes(symbols, order, length)[1:]
+            # Only suffixes that hold a whole window are asked about.
+            holds = (left[order[1:]] >= length) & (left[order[:-1]] >= length)
+            assert [bool(g) for g, h in zip(got, holds) if h] == [s for s, h in zip(same, holds) if h]
+
+
 def sets_by_hand(text: str) -> frozenset:
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
     whole = [tuple(words)] if words else []
