@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -78,6 +79,7 @@ class Outline(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parent, self.name, self.mark = [-1], [""], [0]  # of each container; 0 is the page
         self.open: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # element, container, unread, unread or marked
+        self.times: Counter[str] = Counter()  # of the names of open elements
         self.blocks: list[tuple[str, int, int, bool]] = []
         self._text: list[str] = []
         self._tags = 0
@@ -94,17 +96,19 @@ class Outline(HTMLParser):
         self._tags += 1
         if tag == "br":
             self._text.append(" ")
-        if tag in VOID or (tag not in BLOCKS and tag not in UNREAD):
+        if tag not in BLOCKS and tag not in UNREAD:
             return
         self.end_block()
+        if tag in VOID:
+            return
         if tag in BOUNDARY:
             # An article never stands in a menu or an advert: those were left open.
             while self.open[-1][3] and len(self.open) > 1:
-                self.open.pop()
+                self.times[self.open.pop()[0]] -= 1
         elif tag in SELF_CLOSING:
             self._close(tag, stop=BLOCKS - SELF_CLOSING)
         _, container, unread, aside = self.open[-1]
-        in_article = any(one[0] in BOUNDARY for one in self.open)
+        in_article = any(self.times[name] for name in BOUNDARY)
         other = tag in UNREAD or tag == "header" and not in_article
         mark = 0
         if not other and tag not in BOUNDARY and tag not in ("body", "html"):
@@ -112,12 +116,16 @@ class Outline(HTMLParser):
         self.parent.append(container)
         self.name.append(tag)
         self.mark.append(mark)
+        self.times[tag] += 1
         self.open.append((tag, len(self.parent) - 1, unread or other, aside or other or mark == 2))
 
     def _close(self, tag: str, stop: frozenset = frozenset()) -> None:
+        if not self.times[tag]:
+            return
         for k in range(len(self.open) - 1, 0, -1):
             name = self.open[k][0]
             if name == tag:
+                self.times.subtract(one[0] for one in self.open[k:])
                 del self.open[k:]
                 return
             if name in stop:
