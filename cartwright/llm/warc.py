@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 import uuid
 from collections.abc import Iterator
+from datetime import datetime, timezone
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,31 +23,32 @@ CRLF = "\r\n"
 #: Revisits are made only of payloads with at least so many bytes.
 LEAST_BYTES = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+HTTP = "application/http;msgtype=response"
 RECORDS = "page_id long, record_type string, url string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 
 
-def header_table(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """``_id, _digest, _size, _original``: the payload's digest and length, and of
-    equal payloads with at least ``least`` bytes the largest id.
+def header_table(pages: DataFrame) -> DataFrame:
+    """``_id, _url, _digest, _size``: id, url and the payload's digest and length.
 
     Only headers are shuffled, by digest; the largest id per digest is an aggregate with map-side combine,
     and the join back splits a digest that holds very many rows.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    headers = pages.select(
-        F.col("page_id").alias("_id"), F.sha1(payload).alias("_digest"), F.octet_length(payload).cast("long").alias("_size")
-    )
-    return headers
+    return pages.select(
+        F.col("page_id").alias("_id"), F.col("url").alias("_url"), F.sha1(payload).alias("_digest"),
+        F.octet_length(payload).cast("long").alias("_size"),
+    )
 
 
 def originals(headers: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """``digest, original`` for each digest of at least ``least`` bytes with more than one record."""
+    """``digest, original, source`` for each digest of at least ``least`` bytes with more than one record: the largest
+    id and its url, the last one of a repeated id."""
     return (
         headers.where(F.col("_size") >= least)
         .groupBy(F.col("_digest").alias("digest"))
-        .agg(F.max("_id").alias("original"), F.count(F.lit(1)).alias("n"))
+        .agg(F.max(F.struct("_id", "_url")).alias("last"), F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .drop("n")
+        .select("digest", F.col("last._id").alias("original"), F.col("last._url").alias("source"))
     )
 
 
@@ -57,66 +61,97 @@ def clean(value: Column) -> Column:
     return F.replace(F.replace(value, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
-def record(page_id: Column, url: Column, digest: Column, original: Column, payload: Column) -> Column:
-    """One archive record; a revisit, which has an ``original``, holds no payload.
+def record_name(page_id: Column, digest: Column) -> Column:
+    """A record's id, derived from digest and page id, so that a repeated task writes the same bytes."""
+    name = F.md5(F.concat_ws(":", F.coalesce(page_id.cast("string"), F.lit("")), digest))
+    parts = [F.substring(name, first, size) for first, size in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
+    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *parts), F.lit(">"))
 
-    The record's id is derived from digest and page id, so that a repeated task writes the same bytes.
-    """
-    stated = F.coalesce(page_id.cast("string"), F.lit(""))
-    name = F.md5(F.concat_ws(":", stated, digest))
-    block = F.when(original.isNull(), payload).otherwise(F.lit(""))
+
+def record(page_id: Column, url: Column, digest: Column, original: Column, source: Column, payload: Column, date: str) -> Column:
+    """One archive record: an HTTP head and the payload; a revisit, which has an ``original`` with the url
+    ``source``, has the head only."""
+    revisit = original.isNotNull()
+    head = F.concat(
+        F.lit("HTTP/1.1 200 OK" + CRLF),
+        line("Content-Type", F.lit("text/html; charset=utf-8")),
+        line("Content-Length", F.octet_length(payload).cast("string")),
+        F.lit(CRLF),
+    )
+    block = F.when(revisit, head).otherwise(F.concat(head, payload))
+    refers = F.concat(
+        line("WARC-Profile", F.lit(PROFILE)),
+        line("WARC-Refers-To", record_name(original, digest)),
+        F.coalesce(line("WARC-Refers-To-Target-URI", clean(source)), F.lit("")),
+        line("WARC-Refers-To-Date", F.lit(date)),
+        line("X-Refers-To-Page-ID", original.cast("string")),
+    )
     return F.concat(
         F.lit("WARC/1.1" + CRLF),
-        line("WARC-Type", F.when(original.isNull(), F.lit("response")).otherwise(F.lit("revisit"))),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), name, F.lit(">"))),
+        line("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
+        line("WARC-Record-ID", record_name(page_id, digest)),
+        line("WARC-Date", F.lit(date)),
         F.coalesce(line("WARC-Target-URI", clean(url)), F.lit("")),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), digest)),
-        line("X-Page-ID", stated),
-        F.coalesce(line("X-Refers-To-Page-ID", original.cast("string")) , F.lit("")),
-        F.when(original.isNotNull(), line("WARC-Profile", F.lit(PROFILE))).otherwise(F.lit("")),
+        line("X-Page-ID", F.coalesce(page_id.cast("string"), F.lit(""))),
+        F.when(revisit, refers).otherwise(F.lit("")),
+        line("Content-Type", F.lit(HTTP)),
         line("Content-Length", F.octet_length(block).cast("string")),
         F.lit(CRLF),
         block,
     )
 
 
-def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES, codec: str = "gzip") -> None:
+def write_archives(pages: DataFrame, path: str, least: int = LEAST_BYTES, codec: str = "gzip", date: str | None = None) -> None:
     """Write a record per row of ``pages`` (page_id, url, html), payloads of revisits left out.
 
+    ``date`` is the WARC-Date of all records, by default when the run began: it is set once, so a repeated task
+    states the same.
+
     Null html is an empty payload, a null url has no target header.  Rows that repeat a page_id
     with the same payload are all written; the last id of a digest stays the response, and of
     rows that share that id too, all are responses.
     """
     digest = F.sha1(F.coalesce(F.col("html"), F.lit("")).cast("binary"))
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     rows = pages.select("page_id", "url", "html").withColumn("_digest", digest)
-    headers = header_table(pages, least)
+    headers = header_table(pages)
     whole = originals(headers, least)
     revisits = (
         headers.where(F.col("_size") >= least)
         .join(whole, F.col("_digest") == F.col("digest"))
         .where("_id <> original or _id is null")
-        .select("_id", F.col("_digest").alias("_of"), "original")
+        .select("_id", F.col("_digest").alias("_of"), "original", "source")
         .distinct()
     )
     told = rows.join(revisits, F.col("page_id").eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_of")), "left")
-    text = record(F.col("page_id"), F.col("url"), F.col("_digest"), F.col("original"), F.coalesce("html", F.lit("")))
+    payload = F.coalesce("html", F.lit(""))
+    text = record(F.col("page_id"), F.col("url"), F.col("_digest"), F.col("original"), F.col("source"), payload, date)
     told.select(text.alias("value")).write.option("lineSep", CRLF * 2).option("compression", codec).mode(
         "overwrite"
     ).text(path)
 
 
-def parse(blob: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers, with lower-case names, and block of each record; blocks are cut by their stated length."""
-    at = 0
-    while at < len(blob):
-        end = blob.index(b"\r\n\r\n", at)
-        first, *lines = blob[at:end].decode("utf-8").split(CRLF)
-        if not first.startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        headers = {k.lower(): v for k, v in (one.split(": ", 1) for one in lines)}
+def parse(archive: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Headers, with lower-case names, and block of each record, one record at a time; blocks are cut by their stated
+    length."""
+    while first := archive.readline():
+        if not first.startswith(b"WARC/"):
+            raise ValueError(f"no record before byte {archive.tell()}")
+        headers = {}
+        while (one := archive.readline().rstrip(b"\r\n")):
+            name, _, value = one.decode("utf-8").partition(":")
+            headers[name.lower()] = value.strip(" ")
         size = int(headers["content-length"])
-        yield headers, blob[end + 4 : end + 4 + size]
-        at = end + 4 + size + 4
+        block = archive.read(size)
+        if len(block) < size or archive.read(4) != b"\r\n\r\n":
+            raise ValueError(f"record {headers.get('warc-record-id')} is cut off")
+        yield headers, block
+
+
+def payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    """What follows the HTTP head of a block that has one."""
+    return block.partition(b"\r\n\r\n")[2] if headers.get("content-type", "").startswith("application/http") else block
 
 
 def _number(text: str | None) -> int | None:
@@ -124,9 +159,9 @@ def _number(text: str | None) -> int | None:
 
 
 def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """The records of all archives in a folder; one task holds one archive file.
+    """The records of all archives in a folder; one task holds one archive file, packed, and unpacks a record at a time.
 
-    ``payload_bytes`` and ``payload_digest`` of responses are computed from the block; the
+    ``payload_bytes`` and ``payload_digest`` of responses are computed from what follows the HTTP head; the
     digest stated in the header must agree.  Those of revisits are still to be resolved: the digest is the stated one.
     """
 
@@ -139,9 +174,11 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 
         for batch in batches:
             for blob in batch.column(0):
-                data, rows, held = blob.as_py(), [], 0
-                for h, block in parse(gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data):
+                data, rows, held = io.BytesIO(blob.as_buffer()), [], 0
+                packed = data.getbuffer()[:2] == b"\x1f\x8b"
+                for h, block in parse(io.BufferedReader(gzip.GzipFile(fileobj=data)) if packed else data):
                     kind, stated = h["warc-type"], h["warc-payload-digest"].removeprefix("sha1:")
+                    block = payload_of(h, block)
                     if kind == "response" and hashlib.sha1(block).hexdigest() != stated:
                         raise ValueError(f"record {h['warc-record-id']} is damaged")
                     rows.append(

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import collections
+import gzip
 import hashlib
+import io
 import re
+import uuid
 import zlib
 
 import numpy as np
@@ -149,6 +152,17 @@ def test_archives_make_a_round_trip(spark, folder):
     assert {read[k].payload_bytes for k in (1, 2, 3)} == {len(long_.encode())}
     assert {read[k].payload_digest for k in (1, 2, 3)} == {hashlib.sha1(long_.encode()).hexdigest()}
     assert bytes(read[3].payload).decode() == long_ and read[6].payload_bytes == 0
+    heads = {}
+    for blob in spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(folder("a")).collect():
+        heads |= {int(h["x-page-id"]): (h, b) for h, b in warc.parse(io.BytesIO(gzip.decompress(blob.content)))}
+    first, last = heads[1][0], heads[3][0]
+    assert len({h["warc-date"] for h, _ in heads.values()}) == 1 and re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", last["warc-date"])
+    assert {h["content-type"] for h, _ in heads.values()} == {"application/http;msgtype=response"}
+    assert first["warc-refers-to"] == last["warc-record-id"] and first["warc-refers-to-date"] == last["warc-date"]
+    assert str(uuid.UUID(last["warc-record-id"][10:-1])) == last["warc-record-id"][10:-1]
+    assert "warc-target-uri" not in last and "warc-refers-to-target-uri" not in first and heads[2][0]["warc-target-uri"] == "u%0Av"
+    assert heads[3][1].startswith(b"HTTP/1.1 200 OK\r\n") and warc.payload_of(*heads[3]).decode() == long_
+    assert heads[1][1].endswith(b"\r\n\r\n") and warc.payload_of(*heads[1]) == b""
     warc.dedup_archives(spark, folder("a"), folder("b"))
     again = warc.resolve(warc.read_archives(spark, folder("b"))).collect()
     assert sorted((r.page_id, r.record_type, r.refers_to or 0, r.payload_bytes) for r in again) == sorted(
@@ -158,6 +172,28 @@ def test_archives_make_a_round_trip(spark, folder):
     assert warc.read_archives(spark, folder("c")).count() == 0
 
 
+def test_archives_with_null_and_repeated_ids(spark, folder):
+    long_ = "y" * 2000
+    rows = [(None, "a", long_), (None, "b", long_), (5, "c", long_), (5, "d", long_), (4, "e", long_), (9, "f", "z" * 2000), (9, "f", "z" * 2000)]
+    warc.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), folder("d"), date="2020-01-01T00:00:00Z")
+    read = warc.resolve(warc.read_archives(spark, folder("d"))).collect()
+    got = sorted((r.page_id or 0, r.url, r.record_type, r.refers_to or 0, r.payload_bytes) for r in read)
+    assert got == [
+        (0, "a", "revisit", 5, 2000), (0, "b", "revisit", 5, 2000), (4, "e", "revisit", 5, 2000), (5, "c", "response", 0, 2000),
+        (5, "d", "response", 0, 2000), (9, "f", "response", 0, 2000), (9, "f", "response", 0, 2000),
+    ]
+
+
+def test_rules_part_blocks_and_unclosed_elements_are_read_once():
+    assert htmltext.main_text("<body><div>one<hr>two</div></body>") == "one two"
+    page = htmltext.Outline()
+    page.feed("<article><div><p>a<p>b</div></article></div><header>c</header>" + "<div><p>" * 3000)
+    closed = collections.Counter(name for name, *_ in page.open)
+    assert closed == +page.times + collections.Counter([""]) and closed["div"] == 3000
+    # Closing tags of elements that are not open look at nothing: quadratic work would take minutes here.
+    assert htmltext.main_text("<body>" + "<div></p>" * 30_000 + "text") == "text"
+
+
 def test_languages_of_held_out_documents(small, odd):
     model = langid.learned_from(small)
     found = langid.identify(small.where(langid.held_out(F.col("doc_id"))), model).select("lang", "_lang.*").collect()
