@@ -6,6 +6,7 @@ import collections
 import gzip
 import hashlib
 import io
+import math
 import re
 import uuid
 import zlib
@@ -194,6 +195,40 @@ def test_rules_part_blocks_and_unclosed_elements_are_read_once():
     assert htmltext.main_text("<body>" + "<div></p>" * 30_000 + "text") == "text"
 
 
+def features_by_hand(text: str, s) -> list[int]:
+    """The hashed n-grams that begin at each character, from the rule alone."""
+    code, mask, out = [*map(ord, text.lower()), 0, 0], 0xFFFFFFFF, []
+    for order in s.orders:
+        for at in range(len(code) - 2):
+            value = order * 0x2545F491 & mask
+            for place in range(order):
+                value ^= code[at + place] * int(langid.FACTORS[place]) & mask
+                value = (value << 13 | value >> 19) & mask
+            out.append((value * int(langid.FACTORS[-1]) & mask) >> 32 - s.bits)
+    return out
+
+
+def test_languages_equal_a_plain_naive_bayes(small):
+    s = langid.NgramSettings()
+    docs = small.where("char_length(text) < 3000")
+    seen, rows = collections.defaultdict(collections.Counter), []
+    for r in docs.select("doc_id", "text", "lang").collect():
+        rows.append((r.doc_id, features_by_hand(r.text or "", s)))
+        if r.text is not None and r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            seen[r.lang].update(rows[-1][1])
+    total = {lang: sum(c.values()) + s.alpha * 2**s.bits for lang, c in seen.items()}
+    got = {r.doc_id: r for r in langid.identify(docs, langid.learned_from(docs)).select("doc_id", "_lang.*").collect()}
+    assert len(got) == len(rows) > 50
+    for doc_id, found in rows:
+        sums = {lang: sum(math.log((c[f] + s.alpha) / total[lang]) for f in found) for lang, c in seen.items()}
+        best = max(sums.values())
+        want = {lang: math.exp(x - best) for lang, x in sums.items()}
+        r = got[doc_id]
+        if r.lang_pred != langid.UNDETERMINED:
+            assert abs(r.score - want[r.lang_pred] / sum(want.values())) < 1e-3
+            assert sums[r.lang_pred] >= best - 1e-2
+
+
 def test_languages_of_held_out_documents(small, odd):
     model = langid.learned_from(small)
     found = langid.identify(small.where(langid.held_out(F.col("doc_id"))), model).select("lang", "_lang.*").collect()
@@ -355,6 +390,18 @@ def test_fingerprints(small, odd):
     assert fingerprint.edited_pairs(odd.where("false")).count() == 0
 
 
+def test_ids_equal_the_tokenizer_on_mixed_texts():
+    from tokenizers import Tokenizer
+
+    settings, rng = packing.PackSettings(), np.random.default_rng(11)
+    plain, own = Tokenizer.from_file(settings.vocabulary), packing.Encoder(settings)
+    parts = ["the ", "Straße", " don't", "  ", "\n\n", "\t", "1234567", "日本語", "привет ", "🙂👍🏽", "e\u0301", "\u00a0", "...", "x" * 50, "'S", "\r\n", "{}();", "\x00", "ﷺ"]
+    for _ in range(1500):
+        text = "".join(rng.choice(parts, rng.integers(0, 25)))
+        text += "".join(map(chr, rng.integers(32, 0x2FFF, rng.integers(0, 6))))
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_packing_covers_every_id_once(small, odd):
     from tokenizers import Tokenizer
 
