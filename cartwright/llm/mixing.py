@@ -88,20 +88,21 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def replicated(docs: DataFrame, mix: Mixture) -> DataFrame:
     """``mixed`` with the ``_key`` of each row."""
-    listed = small_side(rates(docs, mix))
+    # Names that the rows' own columns may have.
+    listed = small_side(rates(docs, mix).withColumnsRenamed({"rate": "_rate", "parts": "_parts", "cdf": "_cdf"}))
     joined = keyed(docs).withColumn("_u", uniform(mix.seed, F.col("_key"))).join(
         listed, F.col("source").eqNullSafe(F.col("_source"))
     )
     # Independent Poisson counts add up to one of the summed rate; the first part draws as a whole rate does.
-    first = F.size(F.filter("cdf", lambda c: c <= F.col("_u")))
-    others = F.transform(F.sequence(F.lit(2), F.col("parts")), lambda k: uniform(mix.seed, F.col("_key"), k))
-    more = F.aggregate(others, F.lit(0), lambda n, u: n + F.size(F.filter("cdf", lambda c: c <= u)))
-    times = first + F.when(F.col("parts") > 1, more).otherwise(F.lit(0))
+    first = F.size(F.filter("_cdf", lambda c: c <= F.col("_u")))
+    others = F.transform(F.sequence(F.lit(2), F.col("_parts")), lambda k: uniform(mix.seed, F.col("_key"), k))
+    more = F.aggregate(others, F.lit(0), lambda n, u: n + F.size(F.filter("_cdf", lambda c: c <= u)))
+    times = first + F.when(F.col("_parts") > 1, more).otherwise(F.lit(0))
     return (
         joined.withColumn("_n", times)
         .where("_n > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-        .drop("_u", "_source", "rate", "parts", "cdf", "_n")
+        .drop("_u", "_source", "_rate", "_parts", "_cdf", "_n")
     )
 
 
@@ -110,7 +111,7 @@ def mixed(docs: DataFrame, mix: Mixture = Mixture()) -> DataFrame:
 
     The count is the inverse distribution function at a hash of seed and doc_id,
     so the result does not depend on partitioning.  Repeated doc_ids draw
-    alike; each row with a null id draws for itself; a rate of 0 drops a source.
+    alike; each row with a null id draws for itself; a rate of 0 drops a source. A column ``copy`` of the rows gives way.
     """
     return replicated(docs, mix).drop("_key")
 

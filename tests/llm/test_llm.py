@@ -334,7 +334,9 @@ def test_mixing_reaches_the_weights(small, odd):
     assert abs(n["src0"] / n["src1"] - 3) < 0.6
     once = sorted(map(tuple, mixing.mix(small).select("doc_id", "copy").collect()))
     assert once == sorted(map(tuple, mixing.mix(small.repartition(7)).select("doc_id", "copy").collect()))
-    assert mixing.mix(odd.drop("copy")).where("doc_id = 8").count() % 2 == 0
+    assert mixing.mix(odd).where("doc_id = 8").count() % 2 == 0
+    clashing = small.selectExpr("*", "7 AS rate", "8 AS parts", "9 AS cdf", "-1 AS copy")
+    assert sorted(map(tuple, mixing.mix(clashing).where("rate = 7 and parts = 8 and cdf = 9").select("doc_id", "copy").collect())) == once
     assert mixing.mix(small.where("false")).count() == 0
 
 
