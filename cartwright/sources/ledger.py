@@ -37,9 +37,11 @@ def source_files(spark: SparkSession, src: str) -> DataFrame:
 def table_files(spark: SparkSession, written: str, watermark_col: str) -> DataFrame:
     """TABLE entries of what was written below a folder: path in the table and newest value, from one column."""
     rows = spark.read.parquet(written)
-    path = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+=[^/]*/)*[^/]+$", 0)
+    path = F.regexp_extract("file", r"([^/]+=[^/]*/)*[^/]+$", 0)
     newest = F.max(watermark_col) if watermark_col in rows.columns else F.max(F.lit(None))
-    by_file = rows.groupBy(path.alias("path")).agg(newest.alias("newest"))
+    # The search is for each file, not for each row.
+    by_file = rows.groupBy(F.col("_metadata.file_path").alias("file")).agg(newest.alias("newest"))
+    by_file = by_file.groupBy(path.alias("path")).agg(F.max("newest").alias("newest"))
     return by_file.select(*_entry(TABLE, path=F.col("path"), newest=F.col("newest")))
 
 
