@@ -18,6 +18,7 @@ from cartwright.sources.publish import (
     read_target,
     stage,
     value_of,
+    written_copy,
 )
 
 
@@ -66,6 +67,7 @@ def upsert(
     null_safe: bool = True,
     stable_partitions: bool = False,
     assert_unique_batch: bool = False,
+    arranged: bool = False,
 ) -> list:
     """Apply ``batch`` to the table at ``target``; returns the touched partitions.
 
@@ -73,6 +75,7 @@ def upsert(
     batch first, then the rows that stay in the touched partitions, beside it.  Which other partitions lose rows is
     looked up in the key index; of those that may hold a key of the batch, two columns are
     read.  With ``stable_partitions`` the caller vouches that a key never changes partition and even that is saved.
+    A batch that is ``arranged`` comes from ``balanced`` and is written as it lies.
     """
     finish_pending(spark, target)
     current = read_target(spark, target)
@@ -80,7 +83,7 @@ def upsert(
     if current is not None:
         current, batch = align_schemas(current, batch)
         schema = batch.schema
-    new = stage(spark, batch, target, partition_col)
+    new = stage(spark, batch, target, partition_col, arranged=arranged)
     if assert_unique_batch and repeated_keys(new, keys).take(1):
         finish_pending(spark, target)  # There is no plan yet: what is staged is dropped.
         raise ValueError(f"the batch repeats a key {tuple(keys)}")
@@ -95,11 +98,32 @@ def upsert(
             touched |= _losing(current, new, keys, null_safe, partition_col, {value_of(folder, kind) for folder in maybe})
         if touched:
             affected = current.where(in_partitions(partition_col, touched))
-            staying = _matching(affected, new, keys, null_safe, "left_anti")
-            stage(spark, staying, target, partition_col, mode="append")
+            # A batch of most of these rows: who stays is found by keys alone, so that rows which go are not shuffled.
+            if 2 * new.count() > affected.count():
+                with written_copy(spark, _matching(affected.select(*keys), new, keys, null_safe, "left_anti").distinct()) as kept:
+                    if not kept.isEmpty():
+                        staying = _matching(_sifted(affected, kept, keys), kept, keys, True, "left_semi")
+                        stage(spark, staying, target, partition_col, mode="append")
+            else:
+                staying = _matching(affected, new, keys, null_safe, "left_anti")
+                stage(spark, staying, target, partition_col, mode="append")
     return publish(spark, target, schema, partition_col, touched, keys)
 
 
+#: Bits of the filter of staying keys; it is broadcast as at most 2^19 rows of two numbers, whatever the table.
+SIFTED_BITS = 1 << 25
+
+
+def _sifted(rows: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows whose key may be among the ``wanted``: all that are, and few others while there are fewer keys than bits."""
+    cell = F.pmod(F.xxhash64(*keys), F.lit(SIFTED_BITS)).alias("_cell")
+    bit = F.expr("shiftleft(1L, cast(_cell & 63 as int))")
+    words = wanted.select(cell).groupBy(F.shiftright("_cell", 6).alias("_word")).agg(F.bit_or(bit).alias("_mask"))
+    probed = rows.select("*", cell).withColumn("_at", F.shiftright("_cell", 6))
+    near = probed.join(F.broadcast(words), F.col("_at") == F.col("_word")).where(F.col("_mask").bitwiseAND(bit) != 0)
+    return near.select(*rows.columns)
+
+
 def _losing(
     current: DataFrame, new: DataFrame, keys: Sequence[str], null_safe: bool, partition_col: str, among: set
 ) -> set:

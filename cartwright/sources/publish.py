@@ -116,14 +116,20 @@ def finish_pending(spark: SparkSession, target: str) -> bool:
     return True
 
 
-def stage(spark: SparkSession, df: DataFrame, target: str, partition_col: str, mode: str = "overwrite") -> DataFrame:
-    """Write rows to the table's pending folder; what was written, as a frame.  ``append`` adds to what is there."""
+def stage(
+    spark: SparkSession, df: DataFrame, target: str, partition_col: str, mode: str = "overwrite", arranged: bool = False
+) -> DataFrame:
+    """Write rows to the table's pending folder; what was written, as a frame.  ``append`` adds to what is there.
+
+    Rows that are ``arranged`` come from ``balanced`` already.
+    """
     root = _pending_root(target)
     if storage.path_exists(spark, f"{root}/plan.json"):
         raise RuntimeError(f"an interrupted write of {target} is waiting: call finish_pending first")
     if mode == "overwrite":
         storage.delete(spark, root)
-    balanced(df, partition_col).write.mode(mode).partitionBy(partition_col).parquet(f"{root}/rows")
+    ready = df if arranged else balanced(df, partition_col)
+    ready.write.mode(mode).partitionBy(partition_col).parquet(f"{root}/rows")
     return spark.read.schema(df.schema).parquet(f"{root}/rows").select(*df.columns)
 
 

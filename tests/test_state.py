@@ -3,6 +3,7 @@
 import datetime as dt
 import os
 import random
+import sys
 from pathlib import Path
 
 import pytest
@@ -37,6 +38,39 @@ def test_upsert_moves_a_key_between_partitions(spark, folder):
     assert rows(read_target(spark, target)) == [(1, TUESDAY, "c"), (2, TUESDAY, "b"), (3, MONDAY, "e")]
 
 
+def test_upsert_of_most_rows_shuffles_no_row_that_goes(spark, folder, monkeypatch):
+    module = sys.modules[upsert.__module__]
+    target, staged, plain = folder("t"), [], module.stage
+
+    def counted(spark, df, *rest, **options):
+        staged.append(df)
+        return plain(spark, df, *rest, **options)
+
+    monkeypatch.setattr(module, "stage", counted)
+    day = {k: MONDAY if k % 2 else TUESDAY for k in range(9)}
+    first = [(None if k == 0 else k, day[k], "old") for k in range(9)]
+    upsert(spark, target, facts(spark, *first), ["id"], "day")
+    upsert(spark, target, facts(spark, *((i, d, "new") for i, d, _ in first)), ["id"], "day")
+    assert len(staged) == 2  # Nobody stays, so only batches are written.
+    assert rows(read_target(spark, target)) == rows(facts(spark, *((i, d, "new") for i, d, _ in first)))
+    most = [(i, d, "newer") for i, d, _ in first if i not in (None, 5)]
+    upsert(spark, target, facts(spark, *most, (10, MONDAY, "more")), ["id"], "day")
+    stay = [(None, TUESDAY, "new"), (5, MONDAY, "new")]
+    assert rows(read_target(spark, target)) == rows(facts(spark, *most, (10, MONDAY, "more"), *stay))
+    upsert(spark, target, facts(spark, (None, TUESDAY, "x"), *most[1:], (11, MONDAY, "y")), ["id"], "day", null_safe=False)
+    want = [(None, TUESDAY, "new"), (None, TUESDAY, "x"), most[0], (5, MONDAY, "new"), *most[1:], (10, MONDAY, "more"), (11, MONDAY, "y")]
+    assert rows(read_target(spark, target)) == rows(facts(spark, *want))
+
+
+def test_newest_values_are_found_without_a_search_in_each_rows_path(spark, folder):
+    written = folder("t")
+    parquet.write_partitioned(spark.range(40).selectExpr("id", "cast(timestamp_seconds(id * 9000) as string) AS at"), written, "at", "day")
+    found = ledger.table_files(spark, written, "at")
+    assert "regexp_extract" not in plan(found).rsplit("Exchange", 1)[1]
+    stored = {str(f.relative_to(written)) for f in Path(written).rglob("*.parquet")}
+    assert {r.path for r in found.collect()} == stored and {r.newest[:10] for r in found.collect()} == {p[4:14] for p in stored}
+
+
 def test_upsert_twice_changes_nothing(spark, folder):
     target, batch = folder("t"), facts(spark, (1, MONDAY, "a"), (2, TUESDAY, "b"))
     for _ in range(2):
