@@ -27,6 +27,7 @@ from cartwright.operators.snapshot import read_history, scd2_snapshot
 from cartwright.operators.upsert import upsert
 from cartwright.plans import enrich, marts, reports, staging
 from cartwright.sources import ledger, storage
+from cartwright.sources.parquet import balanced
 from cartwright.sources.load import (
     full_refresh,
     incremental_load,
@@ -134,8 +135,9 @@ def refresh_orders(
 
     def apply(some: DataFrame, their_customers: DataFrame, their_payments: DataFrame) -> list:
         customers = staging.stg_customers(their_customers)
-        enriched = enrich.orders_enriched(some, customers, their_payments, one_version=True)
-        return upsert(spark, target, marts.fct_orders(enriched, run_ts), ["order_id"], partition_col)
+        # Brought together before the fact's hashed key is added, which would be most of what is shuffled.
+        enriched = balanced(enrich.orders_enriched(some, customers, their_payments, one_version=True), partition_col)
+        return upsert(spark, target, marts.fct_orders(enriched, run_ts), ["order_id"], partition_col, arranged=True)
 
     if stored is None:
         return apply(orders, raw_customers, payments)

@@ -2,7 +2,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import EAGER, NEVER, rows, ts
+from conftest import EAGER, NEVER, plan, rows, ts
 from pyspark.sql import functions as F
 from test_staging import PAYMENTS, order, raw_orders
 
@@ -151,6 +151,20 @@ def test_incremental_orders_equal_a_full_run(spark, folder):
     )
 
 
+def test_facts_are_brought_together_before_their_key_is_hashed(spark, folder, monkeypatch):
+    batches, plain = [], job.upsert
+
+    def kept(spark, target, batch, *rest, **options):
+        batches.append(plan(batch))
+        return plain(spark, target, batch, *rest, **options)
+
+    monkeypatch.setattr(job, "upsert", kept)
+    staged = staging.stg_orders(raw_orders(spark, order(1), order(2, "2024-01-05")))
+    job.refresh_orders(spark, folder("fct"), staged, raw_customers(spark), payments(spark), RUN_AT)
+    above, _, below = batches[0].partition("REBALANCE")
+    assert below and "md5" in above and "md5" not in below
+
+
 def test_customer_orders_summary(spark):
     orders = [order(1), order(2, "2024-01-05", "cancelled", 50.0), order(1), order(3, customer_id=2, net=None)]
     items = spark.createDataFrame([(1,), (1,), (2,), (9,)], "order_id long")
