@@ -7,6 +7,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
+
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Rows go to Python workers by so many bytes at once. The default counts 10,000 rows or 64 MB, of which the executor and
+#: the worker hold several copies for each task.
+MOST_BATCH = 4 << 20
+
+
+def in_small_batches(spark: SparkSession) -> SparkSession:
+    """Lets later queries of the session send long texts to Python workers in batches of few bytes."""
+    spark.conf.set(BATCH_BYTES, str(MOST_BATCH))
+    return spark
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -10,10 +10,9 @@ that pass are opened.
 from __future__ import annotations
 
 import itertools
-import math
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.batches import hashes, mixed, pieces, prefix_sums, utf8
+from cartwright.llm.batches import hashes, in_small_batches, mixed, pieces, prefix_sums, utf8
 from cartwright.llm.components import components
 from cartwright.llm.sieve import sifted
 from cartwright.session import shared_dir
@@ -31,12 +30,14 @@ from cartwright.session import shared_dir
 class JaccardSettings:
     """Two sets link when 100 * intersection >= ``percent`` * union. ``members``: documents of a group, about.
     ``run``: of a token in at most so many groups all pairs are counted at once; of others first each group with
-    two of them, then those that are still apart. ``cells``: of the frequency sketch, a power of two."""
+    two of them, then those that are still apart meet in blocks of about ``block`` tokens. ``cells``: of the frequency
+    sketch, a power of two."""
 
     words: int = 5
     percent: int = 75
     members: int = 64
     run: int = 24
+    block: int = 100_000
     cells: int = 1 << 22
 
     def least_common(self, n: int) -> int:
@@ -375,7 +376,27 @@ def opened(sides: tuple[list[int], list[int]], sets: list[np.ndarray], s: Jaccar
             yield from ((q, x) for x in sides[1] if linked(q, x))
 
 
-def compared(docs: DataFrame, pairs: DataFrame, reps: DataFrame, folder: str, s: JaccardSettings) -> DataFrame:
+def met(sides: tuple[list[int], list[int]], sets: list[np.ndarray], s: JaccardSettings) -> Iterator[tuple[int, int]]:
+    """The same of two blocks, or of one: what each set of the one side has in common with all of the other is counted
+    at once, from the places of its tokens."""
+    left, right = sides
+    forest, place = Forest(len(sets)), np.array(right)
+    size = np.array([len(sets[x]) for x in right])
+    token, whose = np.concatenate([sets[x] for x in right]), np.repeat(np.arange(len(right)), size)
+    order = np.argsort(token, kind="stable")
+    token, whose = token[order], whose[order]
+    for q in left:
+        first, last = np.searchsorted(token, sets[q], "left"), np.searchsorted(token, sets[q], "right")
+        many = last - first
+        at = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+        common = np.bincount(whose[at], minlength=len(right))
+        linked = 100 * common >= s.percent * (len(sets[q]) + size - common)
+        yield from ((q, x) for x in place[linked].tolist() if forest.join(q, x))
+
+
+def compared(
+    docs: DataFrame, pairs: DataFrame, reps: DataFrame, folder: str, s: JaccardSettings, links_between: Callable = opened
+) -> DataFrame:
     """``a, b``: links found between the groups of each pair (a, b); a pair of a group with itself looks inside.
 
     Only texts of the groups' documents are shuffled. Who these are is written to ``folder`` first.
@@ -399,7 +420,7 @@ def compared(docs: DataFrame, pairs: DataFrame, reps: DataFrame, folder: str, s:
         gids = sorted({gid for gid, _, _ in once})
         left = [k for k, one in enumerate(once) if one[0] == gids[0]]
         right = left if len(gids) == 1 else [k for k, one in enumerate(once) if one[0] != gids[0]]
-        return [(nodes[q], nodes[x]) for q, x in opened((left, right), sets, s)]
+        return [(nodes[q], nodes[x]) for q, x in links_between((left, right), sets, s)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, key = [], None
@@ -420,6 +441,32 @@ def compared(docs: DataFrame, pairs: DataFrame, reps: DataFrame, folder: str, s:
     return ready.mapInArrow(run, "a long, b long")
 
 
+def still_apart(known: DataFrame) -> DataFrame:
+    """The rows (token, gid, low, high, ...) of the tokens whose groups do not all have one label; ``low`` and ``high`` are
+    the least and the greatest label of a group."""
+    apart = known.groupBy(F.col("token").alias("t")).agg(F.min("low").alias("x"), F.max("high").alias("y")).where("x <> y").select("t")
+    return known.join(apart, F.col("token") == F.col("t")).drop("t")
+
+
+def tiled(left: DataFrame, reps: DataFrame, s: JaccardSettings, stored: Callable[[DataFrame, str], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """The nodes of the groups in ``left`` (token, gid) with a block as their ``gid``, and the pairs of blocks that have a token in common.
+
+    A group belongs to the token that most groups have, of its own, so a token meets few blocks besides that of a more frequent one.
+    What belongs to a token is dealt to as many blocks as it fills. So a node goes to blocks, not to all the groups it shares tokens with.
+    """
+    times = left.groupBy(F.col("token").alias("t")).agg(F.count(F.lit(1)).alias("times"))
+    owner = left.join(times, F.col("token") == F.col("t")).groupBy(F.col("gid").alias("g")).agg(F.max(F.struct("times", "token")).getField("token").alias("owner"))
+    owned = reps.join(owner, F.col("gid") == F.col("g")).drop("g")
+    filled = owned.groupBy(F.col("owner").alias("o")).agg(F.ceil(F.sum("n") / s.block).alias("parts"))
+    block = F.xxhash64("owner", F.pmod(F.xxhash64("node"), F.col("parts")))
+    blocks = stored(owned.join(filled, F.col("owner") == F.col("o")).withColumn("block", block).select("node", "doc_id", "row", "gid", "block"), "blocks")
+    of_group = blocks.select(F.col("gid").alias("g"), "block").distinct()
+    of_token = stored(left.join(of_group, F.col("gid") == F.col("g")).select("token", "block").distinct(), "token-blocks")
+    there = of_token.select(F.col("token").alias("t"), F.col("block").alias("other"))
+    tiles = of_token.join(there, (F.col("token") == F.col("t")) & (F.col("block") <= F.col("other")))
+    return blocks.drop("gid").withColumnRenamed("block", "gid"), tiles.select(F.col("block").alias("a"), F.col("other").alias("b")).distinct()
+
+
 def _links(rows: list[tuple[int, int]]) -> pa.RecordBatch:
     a, b = zip(*rows) if rows else ((), ())
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -432,7 +479,7 @@ def labelled(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) ->
     ``row`` is a hash of the text that tells rows with equal ids apart. Equal sets are one node, whatever their number.
     A null or wordless text has an empty set, links with nothing and has a null label.
     """
-    s, spark = settings, docs.sparkSession
+    s, spark = settings, in_small_batches(docs.sparkSession)
     folder = f"{shared_dir(spark)}/jaccard-{uuid.uuid4().hex}"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row"), "text")
     shared = spark.sparkContext.broadcast(order_of(rows, s))
@@ -444,7 +491,8 @@ def labelled(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) ->
     tags = stored(tagged(rows, shared, s), "tags")
     found = stored(candidates(rows, shared, s), "candidates")
     shared.unpersist()  # What needs the counts is written.
-    reps = tags.where("gid is not null").groupBy("node").agg(F.min(F.struct("doc_id", "row", "gid")).alias("r")).select("node", "r.doc_id", "r.row", "r.gid")
+    first = F.min(F.struct("doc_id", "row", "gid")).alias("r")
+    reps = tags.where("gid is not null").groupBy("node").agg(first, F.first("n").alias("n")).select("node", "r.doc_id", "r.row", "r.gid", "n")
     within = reps.groupBy("gid").count().where("count > 1").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
     seen = found.where("token is null").select("a", "b", "k", "low")
     pairs = stored(enough(seen).unionByName(within), "pairs")
@@ -452,32 +500,30 @@ def labelled(docs: DataFrame, settings: JaccardSettings = JaccardSettings()) ->
     labels = components(links)
 
     # Tokens in many groups: only what is still apart is left to compare.
-    crowded = found.where("token is not null").select("token", F.col("b").alias("gid"), F.col("low").alias("small"), F.col("high").alias("large"))
+    crowded = found.where("token is not null").select("token", F.col("b").alias("gid"))
     if not crowded.isEmpty():
         of_node = reps.join(labels.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")
         of_group = of_node.groupBy(F.col("gid").alias("g")).agg(
-            F.min(F.coalesce("label", "node")).alias("low"), F.max(F.coalesce("label", "node")).alias("high")
+            F.min(F.coalesce("label", "node")).alias("low"), F.max(F.coalesce("label", "node")).alias("high"), F.min("n").alias("least")
         )
         known = crowded.join(of_group, F.col("gid") == F.col("g")).drop("g")
-        apart = known.groupBy(F.col("token").alias("t")).agg(F.min("low").alias("x"), F.max("high").alias("y")).where("x <> y").select("t")
-        left = known.join(apart, F.col("token") == F.col("t")).drop("t")
-        right = left.select(*(F.col(c).alias(f"{c}2") for c in left.columns))
-        slack = 8 * math.log2(100 / s.percent) + 1e-9
-        together = (
-            left.join(right, (F.col("token") == F.col("token2")) & (F.col("gid") < F.col("gid2")))
-            .where("not (low = high and low2 = high2 and low = low2)")
-            .where((F.col("large") >= F.col("small2") - slack) & (F.col("large2") >= F.col("small") - slack))
-            .groupBy(F.col("gid").alias("a"), F.col("gid2").alias("b"))
-            .agg(F.count(F.lit(1)).alias("k"), F.min(F.least("small", "small2")).alias("low"))
-        )
-        # Written, as it is read twice.
-        together = stored(together, "together")
-        # Tokens that were paired at once count as well, for pairs that also meet here.
-        before = seen.join(together.select("a", "b"), ["a", "b"], "left_semi")
-        rest = enough(together.select("a", "b", "k", "low").unionByName(before)).join(pairs, ["a", "b"], "left_anti")
-        rest = stored(rest, "rest")
-        if not rest.isEmpty():
-            labels = components(links.unionByName(stored(compared(rows, rest, reps, f"{folder}/wanted-rest", s), "more")))
+        left = stored(still_apart(known), "crowded")
+        # A linked set has at least ``percent`` of the size, so a group with fewer of these tokens than such a link needs
+        # also shares others with what it is linked to: then they were seen together.
+        need = F.floor(F.ceil(F.col("least") * s.percent / 100) / 16) + 1
+        shares = left.groupBy("gid").agg(F.count(F.lit(1)).alias("q"), *(F.first(c).alias(c) for c in ("low", "high", "least")))
+        shares = stored(shares.withColumn("heavy", F.col("q") >= need), "shares")
+        one, other = (shares.select(F.col("gid").alias(f"_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in shares.columns[1:])) for x in "ab")
+        both = seen.join(one, F.col("a") == F.col("_a")).join(other, F.col("b") == F.col("_b"))
+        both = both.where("not (heavy_a and heavy_b) and not (low_a = high_a and low_b = high_b and low_a = low_b)")
+        most = both.groupBy("a", "b").agg((F.sum("k") + F.first(F.least("q_a", "q_b"))).alias("k"), F.first(F.least("least_a", "least_b")).alias("n"))
+        rest = stored(most.where("k > floor(n / 16)").select("a", "b").join(pairs, ["a", "b"], "left_anti"), "rest")
+        more = stored(compared(rows, rest, reps, f"{folder}/wanted-rest", s), "more")
+        # The others can be linked by these tokens alone.
+        heavy = shares.where("heavy").select(F.col("gid").alias("g"))
+        blocks, tiles = tiled(still_apart(left.join(heavy, F.col("gid") == F.col("g"), "left_semi")), reps, s, stored)
+        across = stored(compared(rows, tiles, blocks, f"{folder}/wanted-tiles", s, met), "across")
+        labels = components(links.unionByName(more).unionByName(across))
 
     label = F.when(F.col("gid").isNotNull(), F.coalesce("label", "node"))
     named = tags.join(labels.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left")

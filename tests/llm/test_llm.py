@@ -120,6 +120,39 @@ def test_jaccard_equals_brute_force(odd, small, settings):
         assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == want
 
 
+def test_jaccard_of_nearly_similar_texts_grows_with_their_number(spark, monkeypatch):
+    """Texts that share most words but too few to link, and some that do: a text goes to blocks, not to every group it shares words with."""
+    common, sent = [f"c{k}" for k in range(60)], []
+    rows = [(k, " ".join(common + [f"own{k}-{j}" for j in range(10)])) for k in range(160)]
+    rows += [(1000 + k, " ".join(common + [f"own{k}-{j}" for j in range(8)])) for k in (3, 150)]
+    docs, plain = spark.createDataFrame(rows, "doc_id long, text string").repartition(4), jaccard.compared
+
+    def counted(docs, pairs, reps, *rest):
+        ends = pairs.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("g"))
+        sent.append(ends.join(reps, F.col("g") == F.col("gid")).count())
+        return plain(docs, pairs, reps, *rest)
+
+    monkeypatch.setattr(jaccard, "compared", counted)
+    for block in (100_000, 400):
+        sent.clear()
+        settings = jaccard.JaccardSettings(run=2, block=block)
+        got = {r.doc_id: r.component_id for r in jaccard.joined(docs, settings).collect()}
+        sets = {key: sets_by_hand(text) for key, text in rows}
+        up = {key: key for key in sets}
+        for x, y in ((x, y) for x in sets for y in sets if x < y and 100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y])):
+            low, high = sorted((up[x], up[y]))
+            up = {key: low if value == high else value for key, value in up.items()}
+        assert got == up
+        assert block == 400 or sum(sent) <= 6 * len(rows), sent
+
+
+@pytest.mark.parametrize("block", [1, 300])
+def test_jaccard_in_small_blocks_is_the_same(odd, small, block):
+    for docs in (odd, small):
+        want, got = (jaccard.joined(docs, s) for s in (jaccard.JaccardSettings(), jaccard.JaccardSettings(run=2, members=2, cells=256, block=block)))
+        assert sorted(map(str, got.drop("label").collect())) == sorted(map(str, want.drop("label").collect()))
+
+
 def test_top_k_keeps_ties_and_leaves_out_unusable_vectors(spark):
     nan = float("nan")
     rows = [(20, [1.0, 0.0]), (1, [1.0, 0.5]), (2, [1.0, 0.5]), (3, [nan, 1.0]), (4, None), (5, [None, 1.0]), (40, [0.0, -1.0]), (6, [9.0]), (None, [1.0, 1.0])]
