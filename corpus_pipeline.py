@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright.llm import jaccard, langid, mixing, packing, repeats
+from cartwright.llm.batches import in_small_batches
 from cartwright.session import shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -25,6 +26,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go: those without a letter, and those no language is likely for, be it that two are
     equally likely or that the n-grams are less like the best language's labelled rows than like random ones or
     are more likely under a uniform model. Without any label no language is known, and all documents go."""
+    in_small_batches(spark)
     found = langid.identify(docs, langid.learned_from(docs))
     sure = (F.col("_lang.lang_pred") != langid.UNDETERMINED) & (F.col("_lang.score") >= LEAST_SCORE)
     return found.where(sure & (F.col("_lang.margin") >= 0)).select(*COLUMNS)
