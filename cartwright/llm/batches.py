@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Rows go to Python workers by so many bytes at once. The default counts 10,000 rows or 64 MB, of which the executor and
 #: the worker hold several copies for each task.
-MOST_BATCH = 4 << 20
+MOST_BATCH = 1 << 20
 
 
 def in_small_batches(spark: SparkSession) -> SparkSession:

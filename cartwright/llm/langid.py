@@ -39,13 +39,13 @@ class Model:
 
 
 def _features(texts: list[str], s: NgramSettings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For about a million characters at a time: feature ids, one row per order,
+    """For about 250,000 characters at a time: feature ids, one row per order,
     and an array of the starts and ends of each text."""
     pad = "\0" * (max(s.orders) - 1) or "\0"
     first = 0
     while first < len(texts):
         last, size = first, 0
-        while last < len(texts) and (last == first or size < 1_000_000):
+        while last < len(texts) and (last == first or size < 250_000):
             size += len(texts[last])
             last += 1
         group = texts[first:last]
